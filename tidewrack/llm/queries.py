@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewrack.llm import cutoffs, linkage, rank_fusion, survivors
+from tidewrack.llm import confusables, cutoffs, forest, linkage, rank_fusion, survivors
 from tidewrack.session import table
 
 _SCALED = " ".join(
@@ -51,6 +51,22 @@ def p2_merged(spark, sf):
     return survivors.merged(table(spark, sf, "clusters"), table(spark, sf, "assignments"))
 
 
+def p3_found(spark, sf):
+    return forest.repeated(table(spark, sf, "manifest"))
+
+
+def p4_found(spark, sf):
+    return confusables.unified(table(spark, sf, "manifest"), "line_no", ["text", "normalized_text"]).where("found").select("line_no")
+
+
+def p4_forms(spark, sf):
+    return confusables.unified(table(spark, sf, "manifest"), "line_no", ["text", "normalized_text"])
+
+
+def p4_look_alikes(spark, sf):
+    return confusables.look_alikes(table(spark, sf, "manifest"), "text")
+
+
 def p5_found(spark, sf):
     return linkage.record_groups(table(spark, sf, "match_edges"))
 
@@ -69,6 +85,10 @@ QUERIES = {
     "p2_found": p2_found,
     "p2_survivors": p2_survivors,
     "p2_merged": p2_merged,
+    "p3_found": p3_found,
+    "p4_found": p4_found,
+    "p4_forms": p4_forms,
+    "p4_look_alikes": p4_look_alikes,
     "p5_found": p5_found,
     "p6_found": p6_found,
     "p6_cutoffs": p6_cutoffs,
