@@ -54,3 +54,10 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise `df` reliably, so that lost executors cost a re-read and not a recomputation."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """`df` written to the shared folder as a compressed table and read again, for what is read more than once by column."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
