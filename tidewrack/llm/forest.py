@@ -13,23 +13,24 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewrack.llm.confusables import PROTOTYPE, Scanner
 from tidewrack.operators.joins import bounded
-from tidewrack.session import cut, scratch_path
+from tidewrack.session import cut, scratch_path, stored
 
 MIN_WORDS = 6
 #: Words changed, added or dropped: at most one in CHANGED.
 CHANGED = 5
-TREES, DEPTH = 24, 4
+TREES, DEPTH = 16, 4
 #: The lookup depth is the largest at which pairs of this weighted similarity are found with this probability.
-SIMILARITY, RECALL = 0.6, 0.95
+SIMILARITY, RECALL = 0.65, 0.95
 #: Words in more than this share of the texts are common; in more than VERY of them, very common. Below FLOOR texts no word is either.
 COMMON, VERY, FLOOR = 0.0025, 0.03, 50
 WEIGHTS = {"very": 0.1, "common": 1.0, "rare": 2.0}
@@ -37,6 +38,8 @@ _MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 _APOSTROPHES = re.compile(r"['’‘`´]")
 _WORDS = re.compile(r"[^\W_]+")
 _TO_LATIN = str.maketrans(PROTOTYPE)
+_LINE_BITS = 40  # an id is batch_no and line_no in one number, so that the order of ids is that of batches
+_AT_ONCE = 2000
 
 
 def lookup_depth(trees: int = TREES, depth: int = DEPTH, similarity: float = SIMILARITY, recall: float = RECALL) -> int:
@@ -51,7 +54,7 @@ class Words:
     """The words that a text shows, remembered by the ASCII-space-separated piece they come from."""
 
     def __init__(self):
-        self.scan, self.known = Scanner(), {}
+        self.scan, self.known, self.bit = Scanner(), {}, {}
 
     def __call__(self, text: str) -> list[str]:
         out: list[str] = []
@@ -65,40 +68,74 @@ class Words:
             out += hit
         return out
 
+    def bits(self, words: list[str]) -> int:
+        """A 128-bit map of the words: texts one edit apart differ in at most one bit on either side."""
+        bit, out = self.bit, 0
+        for w in words:
+            b = bit.get(w)
+            if b is None:
+                if len(bit) >= 200_000:
+                    bit.clear()
+                b = bit[w] = 1 << hashlib.blake2b(w.encode(), digest_size=1).digest()[0] % 128
+            out |= b
+        return out
+
 
 def read_rows(df: DataFrame, with_words: bool) -> DataFrame:
-    """(line_no, batch_no, dataset, cut_id, key, words): words joined by spaces and their 128-bit hash, null below MIN_WORDS."""
+    """(line_no, batch_no, dataset, cut_id, key; words, n, low, high): the words' 128-bit hash, the words joined by spaces,
+    their number and their bit map; null below MIN_WORDS words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_of = Words()
         for batch in batches:
-            keys, texts = [], []
+            keys, texts, sizes, low, high = [], [], [], [], []
             for t in batch.column(4).to_pylist():
                 w = words_of(t) if t else ()
                 if len(w) < MIN_WORDS:
-                    keys.append(None)
-                    texts.append(None)
-                else:
-                    joined = " ".join(w)
-                    keys.append(hashlib.blake2b(joined.encode(), digest_size=16).digest())
+                    for c in (keys, texts, sizes, low, high):
+                        c.append(None)
+                    continue
+                joined = " ".join(w)
+                keys.append(hashlib.blake2b(joined.encode(), digest_size=16).digest())
+                if with_words:
+                    bits = words_of.bits(w)
                     texts.append(joined)
-            cols = [*batch.columns[:4], pa.array(keys, pa.binary())] + [pa.array(texts, pa.string())] * with_words
-            yield pa.RecordBatch.from_arrays(cols, names=["line_no", "batch_no", "dataset", "cut_id", "key", "words"][: len(cols)])
+                    sizes.append(len(w))
+                    low.append((bits & (1 << 64) - 1) - ((bits & 1 << 63) << 1))
+                    high.append((bits >> 64) - ((bits >> 64 & 1 << 63) << 1))
+            cols, names = [*batch.columns[:4], pa.array(keys, pa.binary())], ["line_no", "batch_no", "dataset", "cut_id", "key"]
+            if with_words:
+                cols += [pa.array(texts, pa.string()), pa.array(sizes, pa.int32()), pa.array(low, pa.int64()), pa.array(high, pa.int64())]
+                names += ["words", "n", "low", "high"]
+            yield pa.RecordBatch.from_arrays(cols, names=names)
 
     rows = df.select(F.col("line_no").cast("bigint"), F.col("batch_no").cast("int"), "dataset", "cut_id", "text")
-    return rows.mapInArrow(run, "line_no bigint, batch_no int, dataset string, cut_id string, key binary" + ", words string" * with_words)
+    return rows.mapInArrow(run, "line_no bigint, batch_no int, dataset string, cut_id string, key binary" + ", words string, n int, low bigint, high bigint" * with_words)
 
 
 def texts(rows: DataFrame) -> DataFrame:
-    """One row per distinct text: (key, id, batch, words), where id is its smallest line_no and batch its first batch."""
+    """One row per distinct text: (key, id, words, n, low, high); its id tells its first batch and smallest line there."""
     some = rows.where("key is not null and batch_no is not null")
-    return some.groupBy("key").agg(F.min("line_no").alias("id"), F.min("batch_no").alias("batch"), F.first("words").alias("words"))
+    first = F.min(F.shiftleft(F.col("batch_no").cast("bigint"), _LINE_BITS) + F.col("line_no")).alias("id")
+    return some.groupBy("key").agg(first, *[F.first(c).alias(c) for c in ("words", "n", "low", "high")])
+
+
+def batch_of(id_: Column) -> Column:
+    return F.shiftright(id_, _LINE_BITS)
 
 
 def word_weights(known: DataFrame) -> dict[str, float]:
     """The weights of the common words of all texts; at most (words a text) / COMMON of them can exist."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: Counter[str] = Counter()
+            for t in batch.column(0).to_pylist():
+                seen.update(set(t.split(" ")))
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["w", "c"])
+
     n = known.count()
-    seen = known.select(F.explode(F.array_distinct(F.split("words", " "))).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("c"))
+    seen = known.select("words").mapInArrow(run, "w string, c bigint").groupBy("w").agg(F.sum("c").alias("c"))
     often = seen.where(F.col("c") > F.lit(max(FLOOR, COMMON * n))).collect()
     return {r.w: WEIGHTS["very" if r.c > VERY * n else "common"] for r in often}
 
@@ -132,33 +169,38 @@ class Signer:
         self.draws[i] = -np.log(u) / self.weights.get(word, WEIGHTS["rare"])
         return i
 
-    def nodes(self, words: list[str]) -> np.ndarray:
-        row, index = self.row, []
-        if len(row) + len(words) > 65_536:
+    def nodes(self, texts: list[list[str]]) -> np.ndarray:
+        """(texts, trees): the node of each text in each tree."""
+        row = self.row
+        if len(row) + sum(map(len, texts)) > 65_536:
             row.clear()
-        for w in words:
-            i = row.get(w)
-            index.append(self._new(w) if i is None else i)
-        least = self.draws[index].min(axis=0).view(np.uint32).astype(np.uint64).reshape(self.trees, self.depth)
-        node = self.salt.copy()
+        index, starts = [], []
+        for words in texts:
+            starts.append(len(index))
+            for w in words:
+                i = row.get(w)
+                index.append(self._new(w) if i is None else i)
+        least = np.minimum.reduceat(self.draws[index], starts, axis=0).view(np.uint32).reshape(len(texts), self.trees, self.depth)
+        node = np.tile(self.salt, (len(texts), 1))
         for d in range(self.at):
-            node = _mix(node ^ least[:, d])
+            node = _mix(node ^ least[:, :, d])
         return node.view(np.int64)
 
 
 def postings(known: DataFrame, weights: dict[str, float], trees: int = TREES, depth: int = DEPTH, at: int | None = None) -> DataFrame:
-    """(node, id, batch): one row per text and tree."""
+    """(node, id): one row per text and tree."""
     at = at or lookup_depth(trees, depth)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(weights, trees, depth, at)
         for batch in batches:
-            if batch.num_rows:
-                nodes = np.stack([signer.nodes(t.split(" ")) for t in batch.column(2).to_pylist()])
-                ids, first = (np.repeat(batch.column(i).to_numpy(zero_copy_only=False), trees) for i in (0, 1))
-                yield pa.RecordBatch.from_arrays([pa.array(nodes.ravel()), pa.array(ids), pa.array(first)], names=["node", "id", "batch"])
+            for first in range(0, batch.num_rows, _AT_ONCE):
+                some = batch.slice(first, _AT_ONCE)
+                nodes = signer.nodes([t.split(" ") for t in some.column(1).to_pylist()])
+                ids = np.repeat(some.column(0).to_numpy(zero_copy_only=False), trees)
+                yield pa.RecordBatch.from_arrays([pa.array(nodes.ravel()), pa.array(ids)], names=["node", "id"])
 
-    return known.select("id", "batch", "words").mapInArrow(run, "node bigint, id bigint, batch int")
+    return known.select("id", "words").mapInArrow(run, "node bigint, id bigint")
 
 
 def near(a: list[str], b: list[str]) -> bool:
@@ -189,33 +231,49 @@ def near(a: list[str], b: list[str]) -> bool:
     return cost <= most
 
 
+def _may_be_near(a: str, b: str) -> Column:
+    """What near texts have at least: on either side at most one map bit the other lacks, for every word that may differ."""
+    most = F.floor(F.greatest(F.col(f"{a}.n"), F.col(f"{b}.n")) / CHANGED)
+
+    def lacking(x: str, y: str) -> Column:
+        return sum(F.bit_count(F.col(f"{x}.{c}").bitwiseAND(F.bitwise_not(F.col(f"{y}.{c}")))) for c in ("low", "high"))
+
+    return (lacking(a, b) <= most) & (lacking(b, a) <= most)
+
+
 def verified(pairs: DataFrame, queries: DataFrame, known: DataFrame) -> DataFrame:
-    """The distinct `q` of pairs (q, c) whose texts are near."""
+    """The distinct `q` of pairs (q, c) whose texts are near; only pairs that may be near by their maps fetch their texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = [near(a.split(" "), b.split(" ")) for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok, pa.bool_()))], names=["q"])
 
-    left = queries.select(F.col("id").alias("q"), F.col("words").alias("a"))
-    right = known.select(F.col("id").alias("c"), F.col("words").alias("b"))
-    return pairs.join(left, "q").join(right, "c").select("q", "a", "b").mapInArrow(run, "q bigint").distinct()
+    maps = ["id", "n", "low", "high"]
+    close = pairs.join(queries.select(*maps).alias("a"), F.col("q") == F.col("a.id")).join(known.select(*maps).alias("b"), F.col("c") == F.col("b.id"))
+    close = close.where(_may_be_near("a", "b")).select("q", "c")
+    left = queries.select(F.col("id").alias("q"), F.col("words").alias("wa"))
+    right = known.select(F.col("id").alias("c"), F.col("words").alias("wb"))
+    return close.join(left, "q").join(right, "c").select("q", "wa", "wb").mapInArrow(run, "q bigint").distinct()
 
 
 def near_texts(known: DataFrame, weights: dict[str, float], trees: int = TREES, depth: int = DEPTH) -> DataFrame:
-    """(q): the ids of texts near to one of a lower batch. `known` (id, batch, words) should be cheap to read again.
+    """(q): the ids of texts near to one of a lower batch. `known`, as of `texts`, should be cheap to read again.
 
     First every text is held against the first text of each of its nodes, one candidate a tree, which settles the many
     variants of a hot text. The texts not settled are then held against everything of lower batches in their nodes.
     """
     paths = postings(known, weights, trees, depth)
-    first = F.min(F.struct("batch", "id"))
-    nodes = paths.groupBy("node").agg(first.alias("f"), F.count(F.lit(1)).alias("n"), F.max("batch").alias("last")).where("n > 1 and last > f.batch")
-    shared = cut(paths.join(nodes, "node").where(F.col("batch") > F.col("f.batch")).select("node", "id", "batch", "n", F.col("f.id").alias("c")))
-    one = cut(verified(shared.select(F.col("id").alias("q"), "c").distinct(), known, known))
-    open_ = shared.where("n > 2").join(one.withColumnRenamed("q", "id"), "id", "left_anti")
-    pairs = open_.select("node", F.col("id").alias("q"), F.col("batch").alias("qb")).join(shared.select("node", F.col("id").alias("c"), "batch"), "node")
-    rest = verified(pairs.where("batch < qb").select("q", "c").distinct(), known, known)
+    nodes = paths.groupBy("node").agg(F.min("id").alias("c"), F.max("id").alias("last")).where(batch_of(F.col("last")) > batch_of(F.col("c")))
+    shared = cut(paths.join(nodes.select("node", "c"), "node"))
+    later = shared.where(batch_of(F.col("id")) > batch_of(F.col("c")))
+    one = cut(verified(later.select(F.col("id").alias("q"), "c").distinct(), known, known))
+    open_ = later.join(one.withColumnRenamed("q", "id"), "id", "left_anti").select("node", "id", F.col("c").alias("first"))
+    maps = known.select("id", "n", "low", "high")
+    a = open_.join(maps, "id").alias("a")
+    b = shared.where("id <> c").select("node", "id").join(maps, "id").alias("b")
+    both = a.join(b, (F.col("a.node") == F.col("b.node")) & (batch_of(F.col("b.id")) < batch_of(F.col("a.id"))) & _may_be_near("a", "b"))
+    rest = verified(both.select(F.col("a.id").alias("q"), F.col("b.id").alias("c")).distinct(), known, known)
     return one.union(rest)
 
 
@@ -226,9 +284,9 @@ def repeated(manifest: DataFrame) -> DataFrame:
     most one word in five. Null, blank and shorter texts repeat by record only; rows with a null dataset or cut_id by text
     only; rows without a batch never. Rows of the same batch do not count against each other.
     """
-    known = cut(texts(read_rows(manifest, True)))
+    known = stored(texts(read_rows(manifest, True)), "texts")
     found = near_texts(known, word_weights(known))
-    state = known.select("key", "id", F.col("batch").alias("first")).join(found.select(F.col("q").alias("id"), F.lit(True).alias("near")), "id", "left")
+    state = known.select("key", "id", batch_of(F.col("id")).alias("first")).join(found.select(F.col("q").alias("id"), F.lit(True).alias("near")), "id", "left")
     rows = read_rows(manifest, False)
     record = rows.where("dataset is not null and cut_id is not null").groupBy("dataset", "cut_id").agg(F.min("batch_no").alias("earliest"))
     out = rows.join(state.select("key", "first", "near"), "key", "left").join(record, ["dataset", "cut_id"], "left")
@@ -266,7 +324,7 @@ class HashForest:
             old = self._read("texts")
             same = new.join(old.select("key"), "key", "left_semi").select("key")
             open_ = new.join(same, "key", "left_anti")
-            asked = bounded(paths.join(open_.select("id"), "id", "left_semi").select("node", F.col("id").alias("q")))
+            asked = bounded(cut(paths.join(open_.select("id"), "id", "left_semi").select("node", F.col("id").alias("q"))))
             pairs = self._read("paths").join(asked, "node").select("q", F.col("id").alias("c")).distinct()
             close = new.join(verified(pairs, open_, old).withColumnRenamed("q", "id"), "id", "left_semi").select("key")
             by_text = rows.join(same.union(close), "key", "left_semi").select("line_no")
