@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewrack.llm import confusables, cutoffs, forest, linkage, rank_fusion, survivors
+from tidewrack.llm import confusables, cutoffs, forest, linkage, mixing, mojibake, rank_fusion, survivors, tokens
 from tidewrack.session import table
 
 _SCALED = " ".join(
@@ -79,6 +79,30 @@ def p6_cutoffs(spark, sf):
     return cutoffs.cutoffs(table(spark, sf, "assignments"), table(spark, sf, "keep_targets"))
 
 
+def p8_ids(spark, sf):
+    return tokens.encoded(table(spark, sf, "documents"))
+
+
+def p9_found(spark, sf):
+    return mixing.short_sources(table(spark, sf, "documents"), table(spark, sf, "mix_weights"))
+
+
+def p9_shares(spark, sf):
+    return mixing.report(spark, mixing.draw(table(spark, sf, "documents"), table(spark, sf, "mix_weights")))
+
+
+def p9_mixture(spark, sf):
+    return mixing.mixture(table(spark, sf, "documents"), table(spark, sf, "mix_weights"))
+
+
+def p10_found(spark, sf):
+    return mojibake.garbled_documents(table(spark, sf, "documents"))
+
+
+def p10_restored(spark, sf):
+    return mojibake.restored(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_ranking": p1_ranking,
@@ -92,6 +116,12 @@ QUERIES = {
     "p5_found": p5_found,
     "p6_found": p6_found,
     "p6_cutoffs": p6_cutoffs,
+    "p8_ids": p8_ids,
+    "p9_found": p9_found,
+    "p9_shares": p9_shares,
+    "p9_mixture": p9_mixture,
+    "p10_found": p10_found,
+    "p10_restored": p10_restored,
 }
 
 SQL = {
