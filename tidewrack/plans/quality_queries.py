@@ -117,7 +117,7 @@ def _ax(a):
     return f"case when not isnan({v}) and {v} between {lo} and {hi} then {v} end"
 
 
-_SC = f"(select dataset, cut_id, {', '.join(f'arg_max({_ax(a)}, (scored_at, score_batch)) filter ({_ax(a)} is not null) as {a}' for a in AX)} from pending_batch group by 1, 2)"
+_SC = f"(select dataset, cut_id, {', '.join(f'arg_max({_ax(a)}, (scored_at, score_batch, {_ax(a)})) filter ({_ax(a)} is not null) as {a}' for a in AX)} from pending_batch group by 1, 2)"
 _ST = f"(select {', '.join(f'avg({a}) as mu_{a}, stddev_pop({a}) as sd_{a}' for a in AX)} from {_SC})"
 _Z = f"(select dataset, cut_id, {', '.join(AX)}, {', '.join(f'round(case when {a} is not null then case when sd_{a} > 0 then ({a} - mu_{a}) / sd_{a} else 0.0 end end, 6) as z_{a}' for a in AX)} from {_SC}, {_ST})"
 _L = f"list_filter([{', '.join(f'z_{a}' for a in AX)}], lambda x: x is not null)"
