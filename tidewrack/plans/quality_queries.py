@@ -50,7 +50,7 @@ def _z(spark, sf):
 
 
 def z_scores(spark, sf):
-    return _z(spark, sf).select("dataset", "cut_id", *[F.round(f"z_{a}", 5).alias(f"z_{a}") for a in AX])
+    return _z(spark, sf).select("dataset", "cut_id", *[f"z_{a}" for a in AX])
 
 
 def _all_scores(spark, sf):
@@ -139,7 +139,7 @@ SQL = {
     "quality_latest_wins": f"select * from {_SC}",
     "quality_pivot": f"select * from {_SC} where coalesce({', '.join(AX)}) is not null",
     "axis_stats": "select " + ", ".join(f"round(mu_{a}, 6) as mu_{a}, round(sd_{a}, 6) as sd_{a}" for a in AX) + f" from {_ST}",
-    "z_scores": "select dataset, cut_id, " + ", ".join(f"round(z_{a}, 5) as z_{a}" for a in AX) + f" from {_Z}",
+    "z_scores": "select dataset, cut_id, " + ", ".join(f"z_{a}" for a in AX) + f" from {_Z}",
     "rank_gate_raw_scores": f"select * from {_ALL}",
     "gate_threshold": f"select value from {_T}",
     "gate_flags": f"select dataset, cut_id, coalesce(gate_score < value, false) as gate_flagged from {_ALL}, {_T}",
