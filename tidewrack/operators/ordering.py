@@ -17,13 +17,13 @@ def running_total(df: DataFrame, group: list[str], order: list[Column], weight:
     """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = df.withColumn("_g", F.struct(*[F.col(c) for c in group]))
-    ranged = cut(keyed.repartitionByRange(n, F.col("_g"), *order).withColumn("_pid", F.spark_partition_id()))
-    sums = ranged.groupBy("_g", "_pid").agg(F.sum(weight).alias("_sum"))
-    before = Window.partitionBy("_g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
-    here = F.sum(weight).over(Window.partitionBy("_g", "_pid").orderBy(*order))
-    return ranged.withColumn("_here", here).join(sums, ["_g", "_pid"]).withColumn(into, F.col("_here") + F.col("_before")).drop("_g", "_pid", "_here", "_before")
+    keyed = df.withColumn("__group", F.struct(*[F.col(c) for c in group]))
+    ranged = cut(keyed.repartitionByRange(n, F.col("__group"), *order).withColumn("__part", F.spark_partition_id()))
+    sums = ranged.groupBy("__group", "__part").agg(F.sum(weight).alias("__sum"))
+    before = Window.partitionBy("__group").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("__before", F.coalesce(F.sum("__sum").over(before), F.lit(0))).drop("__sum")
+    here = F.sum(weight).over(Window.partitionBy("__group", "__part").orderBy(*order))
+    return ranged.withColumn("__here", here).join(sums, ["__group", "__part"]).withColumn(into, F.col("__here") + F.col("__before")).drop("__group", "__part", "__here", "__before")
 
 
 def top_per_group(df: DataFrame, group: list[str], order: list[Column], k: int) -> DataFrame:
