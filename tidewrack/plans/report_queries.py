@@ -279,7 +279,7 @@ def json_props(spark, sf):
 
 
 _LAST = "(select * exclude (rn) from (select *, row_number() over (partition by dataset, cut_id order by decided_at desc, run_no desc) as rn from assignments) where rn = 1)"
-_LAB = f"(select dataset, case when not isnan(quality_score) then quality_score::double end as score, case when not isnan(gate_score) then gate_score::double end as gate, duration_secs::double as secs, is_kept as label from {_LAST})"
+_LAB = f"(select dataset, case when not isnan(quality_score) then quality_score::double + 0.0 end as score, case when not isnan(gate_score) then gate_score::double end as gate, duration_secs::double as secs, is_kept as label from {_LAST})"
 _ROC = f"""(select *, sum(p) over (partition by dataset order by score desc) as tp, sum(n - p) over (partition by dataset order by score desc) as fp, sum(p) over (partition by dataset) as pp, sum(n - p) over (partition by dataset) as qq
  from (select dataset, score, count(*) as n, count(*) filter (label) as p from {_LAB} where score is not null and label is not null group by 1, 2))"""
 _TRUTH = "(select distinct src_dataset || '/' || src_cut_id as item, dst_dataset || '/' || dst_cut_id as partner, src_dataset as family from match_edges where match_kind = 'text')"

@@ -61,3 +61,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def mounted(path: str) -> str:
+    """The path of a folder on a file system that all executors mount, for formats that Spark has no writer for."""
+    if path.startswith("file:"):
+        return "/" + path.removeprefix("file:").lstrip("/")
+    if "://" in path:
+        raise ValueError(f"{path} is not a mounted folder")
+    return path
