@@ -28,12 +28,14 @@ from tidewrack.session import cut, scratch_path, stored
 MIN_WORDS = 6
 #: Words changed, added or dropped: at most one in CHANGED.
 CHANGED = 5
-TREES, DEPTH = 16, 4
+TREES, DEPTH = 14, 3
 #: The lookup depth is the largest at which pairs of this weighted similarity are found with this probability.
-SIMILARITY, RECALL = 0.65, 0.95
+SIMILARITY, RECALL = 0.6, 0.95
 #: Words in more than this share of the texts are common; in more than VERY of them, very common. Below FLOOR texts no word is either.
 COMMON, VERY, FLOOR = 0.0025, 0.03, 50
-WEIGHTS = {"very": 0.1, "common": 1.0, "rare": 2.0}
+WEIGHTS = {"very": 0.02, "common": 1.0, "rare": 2.0}
+#: Phrases of PHRASE words in more than this share of the texts belong to one text with many variants.
+PHRASE, REPEATED = 5, 0.01
 _MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 _APOSTROPHES = re.compile(r"['’‘`´]")
 _WORDS = re.compile(r"[^\W_]+")
@@ -81,8 +83,8 @@ class Words:
         return out
 
 
-def read_rows(df: DataFrame, with_words: bool) -> DataFrame:
-    """(line_no, batch_no, dataset, cut_id, key; words, n, low, high): the words' 128-bit hash, the words joined by spaces,
+def read_rows(df: DataFrame) -> DataFrame:
+    """(line_no, batch_no, dataset, cut_id, key, words, n, low, high): the words' 128-bit hash, the words joined by spaces,
     their number and their bit map; null below MIN_WORDS words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,20 +99,16 @@ def read_rows(df: DataFrame, with_words: bool) -> DataFrame:
                     continue
                 joined = " ".join(w)
                 keys.append(hashlib.blake2b(joined.encode(), digest_size=16).digest())
-                if with_words:
-                    bits = words_of.bits(w)
-                    texts.append(joined)
-                    sizes.append(len(w))
-                    low.append((bits & (1 << 64) - 1) - ((bits & 1 << 63) << 1))
-                    high.append((bits >> 64) - ((bits >> 64 & 1 << 63) << 1))
-            cols, names = [*batch.columns[:4], pa.array(keys, pa.binary())], ["line_no", "batch_no", "dataset", "cut_id", "key"]
-            if with_words:
-                cols += [pa.array(texts, pa.string()), pa.array(sizes, pa.int32()), pa.array(low, pa.int64()), pa.array(high, pa.int64())]
-                names += ["words", "n", "low", "high"]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+                bits = words_of.bits(w)
+                texts.append(joined)
+                sizes.append(len(w))
+                low.append((bits & (1 << 64) - 1) - ((bits & 1 << 63) << 1))
+                high.append((bits >> 64) - ((bits >> 64 & 1 << 63) << 1))
+            cols = [pa.array(keys, pa.binary()), pa.array(texts, pa.string()), pa.array(sizes, pa.int32()), pa.array(low, pa.int64()), pa.array(high, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *cols], names=["line_no", "batch_no", "dataset", "cut_id", "key", "words", "n", "low", "high"])
 
     rows = df.select(F.col("line_no").cast("bigint"), F.col("batch_no").cast("int"), "dataset", "cut_id", "text")
-    return rows.mapInArrow(run, "line_no bigint, batch_no int, dataset string, cut_id string, key binary" + ", words string, n int, low bigint, high bigint" * with_words)
+    return rows.mapInArrow(run, "line_no bigint, batch_no int, dataset string, cut_id string, key binary, words string, n int, low bigint, high bigint")
 
 
 def texts(rows: DataFrame) -> DataFrame:
@@ -124,17 +122,76 @@ def batch_of(id_: Column) -> Column:
     return F.shiftright(id_, _LINE_BITS)
 
 
+class Phrases:
+    """Runs of PHRASE words of many texts as 64-bit numbers."""
+
+    def __init__(self):
+        self.known: dict[str, int] = {}
+
+    def __call__(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(numbers, text of each, its place in the text)."""
+        known, flat, where, at = self.known, [], [], []
+        for i, words in enumerate(texts):
+            for w in words:
+                h = known.get(w)
+                if h is None:
+                    if len(known) >= 200_000:
+                        known.clear()
+                    h = known[w] = int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little")
+                flat.append(h)
+            where += [i] * len(words)
+            at += range(len(words))
+        flat, where, at = np.array(flat, np.uint64), np.array(where, np.int64), np.array(at, np.int64)
+        n = max(0, len(flat) - PHRASE + 1)
+        number = np.zeros(n, np.uint64)
+        for k in range(PHRASE):
+            number = _mix(number + flat[k : k + n])
+        whole = where[:n] == where[PHRASE - 1 :]
+        return number[whole].view(np.int64), where[:n][whole], at[:n][whole]
+
+
+def repeated_phrases(known: DataFrame, n: int) -> set[int]:
+    """The phrases of more than REPEATED of the texts; at most (words a text) * 2 / REPEATED of them can exist.
+
+    A block of texts reports what exceeds half that share of it; a phrase above the share in all is above half of it in
+    the sum of the reports, whatever the blocks.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        phrases = Phrases()
+        for batch in batches:
+            number, _, _ = phrases([t.split(" ") for t in batch.column(0).to_pylist()])
+            value, c = np.unique(number, return_counts=True)
+            some = c > max(1, REPEATED / 2 * batch.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array(value[some]), pa.array(c[some])], names=["p", "c"])
+
+    seen = known.select("words").mapInArrow(run, "p bigint, c bigint").groupBy("p").agg(F.sum("c").alias("c"))
+    return {r.p for r in seen.where(F.col("c") > F.lit(max(FLOOR, REPEATED / 2 * n))).collect()}
+
+
 def word_weights(known: DataFrame) -> dict[str, float]:
-    """The weights of the common words of all texts; at most (words a text) / COMMON of them can exist."""
+    """The weights of the common words of all texts; at most (words a text) / COMMON of them can exist.
+
+    A word is counted where it is not part of a phrase that many texts repeat: else the words of a text with very many
+    variants would pass for common ones, and its variants would no longer be recognised by them.
+    """
+    n = known.count()
+    often_said = np.array(sorted(repeated_phrases(known, n)), np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        phrases = Phrases()
         for batch in batches:
+            texts = [t.split(" ") for t in batch.column(0).to_pylist()]
+            if len(often_said):
+                number, where, at = phrases(texts)
+                hit = np.isin(number, often_said)
+                for i, k in zip(where[hit].tolist(), at[hit].tolist()):
+                    texts[i][k : k + PHRASE] = [None] * PHRASE
             seen: Counter[str] = Counter()
-            for t in batch.column(0).to_pylist():
-                seen.update(set(t.split(" ")))
+            for words in texts:
+                seen.update(set(words))
+            seen.pop(None, None)
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["w", "c"])
 
-    n = known.count()
     seen = known.select("words").mapInArrow(run, "w string, c bigint").groupBy("w").agg(F.sum("c").alias("c"))
     often = seen.where(F.col("c") > F.lit(max(FLOOR, COMMON * n))).collect()
     return {r.w: WEIGHTS["very" if r.c > VERY * n else "common"] for r in often}
@@ -265,7 +322,7 @@ def near_texts(known: DataFrame, weights: dict[str, float], trees: int = TREES,
     """
     paths = postings(known, weights, trees, depth)
     nodes = paths.groupBy("node").agg(F.min("id").alias("c"), F.max("id").alias("last")).where(batch_of(F.col("last")) > batch_of(F.col("c")))
-    shared = cut(paths.join(nodes.select("node", "c"), "node"))
+    shared = stored(paths.join(nodes.select("node", "c"), "node"), "shared")
     later = shared.where(batch_of(F.col("id")) > batch_of(F.col("c")))
     one = cut(verified(later.select(F.col("id").alias("q"), "c").distinct(), known, known))
     open_ = later.join(one.withColumnRenamed("q", "id"), "id", "left_anti").select("node", "id", F.col("c").alias("first"))
@@ -284,10 +341,11 @@ def repeated(manifest: DataFrame) -> DataFrame:
     most one word in five. Null, blank and shorter texts repeat by record only; rows with a null dataset or cut_id by text
     only; rows without a batch never. Rows of the same batch do not count against each other.
     """
-    known = stored(texts(read_rows(manifest, True)), "texts")
+    read = stored(read_rows(manifest), "rows")
+    known = stored(texts(read), "texts")
     found = near_texts(known, word_weights(known))
     state = known.select("key", "id", batch_of(F.col("id")).alias("first")).join(found.select(F.col("q").alias("id"), F.lit(True).alias("near")), "id", "left")
-    rows = read_rows(manifest, False)
+    rows = read.select("line_no", "batch_no", "dataset", "cut_id", "key")
     record = rows.where("dataset is not null and cut_id is not null").groupBy("dataset", "cut_id").agg(F.min("batch_no").alias("earliest"))
     out = rows.join(state.select("key", "first", "near"), "key", "left").join(record, ["dataset", "cut_id"], "left")
     late = [F.col("earliest") < F.col("batch_no"), F.col("first") < F.col("batch_no"), F.col("near") & F.col("batch_no").isNotNull()]
@@ -306,13 +364,14 @@ class HashForest:
         self.spark, self.path, self.trees, self.depth = spark, path or scratch_path(spark, "forest"), trees, depth
         self.weights: dict[str, float] | None = None
         self.runs: list[str] = []
+        self.written = 0
 
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(*[f"{r}/{name}" for r in self.runs])
 
     def add(self, batch: DataFrame) -> DataFrame:
         """(line_no) of the rows of one batch that the forest already holds; then the batch becomes a run of it."""
-        rows = cut(read_rows(batch, True))
+        rows = stored(read_rows(batch), "batch")
         new = cut(texts(rows))
         if self.weights is None:
             self.weights = word_weights(new)
@@ -329,7 +388,8 @@ class HashForest:
             close = new.join(verified(pairs, open_, old).withColumnRenamed("q", "id"), "id", "left_semi").select("key")
             by_text = rows.join(same.union(close), "key", "left_semi").select("line_no")
             found = cut(by_record.union(by_text).distinct())
-        run = f"{self.path}/run-{len(self.runs):06d}"
+        self.written += 1
+        run = f"{self.path}/run-{self.written:06d}"
         paths.repartitionByRange("node").sortWithinPartitions("node").write.parquet(f"{run}/paths")
         new.write.parquet(f"{run}/texts")
         records.write.parquet(f"{run}/records")
@@ -338,7 +398,8 @@ class HashForest:
 
     def merge(self) -> None:
         """Rewrite all runs as one sorted run; texts are not signed again."""
-        run = f"{self.path}/merged-{len(self.runs):06d}"
+        self.written += 1
+        run = f"{self.path}/merged-{self.written:06d}"
         self._read("paths").repartitionByRange("node").sortWithinPartitions("node").write.parquet(f"{run}/paths")
         self._read("texts").write.parquet(f"{run}/texts")
         self._read("records").distinct().write.parquet(f"{run}/records")
