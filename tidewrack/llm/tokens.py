@@ -103,8 +103,6 @@ class Encoder:
 
     def _learn(self, stretches: list[str]) -> None:
         """Remember the ids of stretches; the pre-tokens not met before go through the model in one call."""
-        if len(self.known) + len(stretches) > _KEPT:
-            self.known.clear()
         if len(self.pre) > _KEPT:
             self.pre.clear()
         cuts = [self.cut.findall(s) for s in stretches]
@@ -131,10 +129,11 @@ class Encoder:
         for first in range(0, len(cut), 500):
             some = cut[first : first + 500]
             new = list(set(itertools.chain.from_iterable(some)).difference(self.known))
+            if len(self.known) + len(new) > _KEPT:
+                self.known.clear()
+                new = list(set(itertools.chain.from_iterable(some)))
             if new:
                 self._learn(new)
-                if len(self.known) == len(new):  # the memory was just emptied
-                    self._learn(list(set(itertools.chain.from_iterable(some)).difference(self.known)))
             known = self.known
             out += [[known[s] for s in c] for c in some]
             for long in [s for s in new if len(s) > _LONG]:
