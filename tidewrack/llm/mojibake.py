@@ -367,7 +367,10 @@ def garbled_documents(documents: DataFrame) -> DataFrame:
 
 
 def restored(documents: DataFrame) -> DataFrame:
-    """(doc_id, text, lost): every document found, its text with the garbled words put back, and how many remain lost."""
+    """(doc_id, text, lost): every document found, its text with the garbled words put back, and how many remain lost.
+
+    A document without a doc_id is found, but not put back, as nothing tells which row it is.
+    """
     rows = met_in(documents, garbled_words(documents))
     fix = F.struct("word", "original", "certain", "chain")
     fixes = rows.join(_proven(rows), "doc_id", "left_semi").groupBy("doc_id").agg(F.collect_set(fix).alias("fixes"))
