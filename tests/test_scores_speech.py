@@ -138,3 +138,28 @@ def test_silence_and_tones(spark):
     assert P.time_peaks(silent, 4).count() == 0
     tones = spark.createDataFrame([("s", t, f, 1.0 if (t, f) in ((5, 1), (15, 2)) else 0.001) for t in range(20) for f in range(4)], silent.schema)
     assert sorted((r.t, r.f) for r in P.time_peaks(P.energy_gate(tones, 2.0), 4).collect()) == [(5, 1), (15, 2)]
+
+
+def test_runs_of_one_hot_source_spread_over_parts(spark):
+    random.seed(4)
+    rows, t = [], 0.0
+    for i in range(2000):
+        t += random.choice([0.5, 1.0, 9.0])
+        rows.append(("hot" if i % 5 else "cold", t, t + random.choice([0.2, 3.0, 12.0]), i))
+    df = spark.createDataFrame(rows, "k string, s double, e double, i int")
+    want, merged = {}, []
+    for k in ("hot", "cold"):
+        run = n = 0
+        last = top = None
+        for _, s, e, i in sorted(r for r in rows if r[0] == k):
+            if last is not None and s - last > 4:
+                run, n = run + 1, 0
+            want[i] = (run, n)
+            last, n = e, n + 1
+            if top is None or s > top + 4:
+                merged.append([k, s, e])
+            top = e if top is None else max(top, e)
+            merged[-1][2] = max(merged[-1][2], e)
+    assert {r.i: (r.run, r.clip_num) for r in S.runs_and_numbers(df, "k", "s", "e", ["i"], 4.0).collect()} == want
+    assert sorted((r.k, r.start, r.end) for r in S.merged_rows(df, "k", "s", "e", 4.0).collect()) == sorted(map(tuple, merged))
+    assert S.merged_rows(df.limit(0), "k", "s", "e", 4.0).count() == 0 == S.runs_and_numbers(df.limit(0), "k", "s", "e", ["i"], 4.0).count()

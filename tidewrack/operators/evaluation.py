@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewrack.operators.ordering import running_total
+from tidewrack.operators.ordering import percentiles, running_total
 
 
 def recall_by(truth: DataFrame, clusters: DataFrame, family: str) -> DataFrame:
@@ -113,8 +113,8 @@ def histogram(rows: DataFrame, column: str, low: float, high: float, bins: int)
 
 def equal_frequency_edges(rows: DataFrame, column: str, bins: int) -> DataFrame:
     """(edges): interpolated quantiles, equal ones collapsed."""
-    p = F.percentile(column, F.array(*[F.lit(i / bins) for i in range(bins + 1)]))
-    return rows.agg(F.array_distinct(F.transform(p, lambda x: F.round(x, 6))).alias("edges"))
+    out = percentiles(rows, column, [100 * i / bins for i in range(bins + 1)], [])
+    return out.select(F.array_distinct(F.transform("p", lambda x: F.round(x, 6))).alias("edges"))
 
 
 def heatmap(rows: DataFrame, x: Column, y: Column, value: str, least: int) -> DataFrame:

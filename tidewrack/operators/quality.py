@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewrack.functions.columns import in_range
+from tidewrack.operators.ordering import percentiles as percentile_table
 from tidewrack.operators.ordering import running_total
 
 #: Axis: (column of the score table, lowest value, highest value).
@@ -147,6 +148,5 @@ def nearest_rank(rows: DataFrame, column: str, percent: float, group: list[str]
 
 def floor_percentiles(rows: DataFrame, column: str = "raw_score", percents: tuple[int, ...] = (10, 25, 50, 75, 90)) -> DataFrame:
     """(dataset, n, p10 ...): interpolated percentiles, from which a floor per dataset can be chosen."""
-    p = F.percentile(column, F.array(*[F.lit(x / 100) for x in percents]))
-    out = rows.where(F.col(column).isNotNull()).groupBy("dataset").agg(F.count(F.lit(1)).alias("n"), p.alias("p"))
+    out = percentile_table(rows, column, [float(x) for x in percents], ["dataset"])
     return out.select("dataset", "n", *[F.round(F.col("p")[i], 6).alias(f"p{x}") for i, x in enumerate(percents)])

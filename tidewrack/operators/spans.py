@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewrack.functions.text import let, universal_id
+from tidewrack.operators.ordering import here, spread, with_carry
 
 SAMPLE_RATE = 16000  # time stamps are always in this domain
 SPAN = "array<struct<start:double,end:double>>"
@@ -51,12 +52,23 @@ def split_outcome(duration: Column, spans: Column, chunks: Column, shortest: flo
             .when(F.size(seconds(spans, duration)) == 0, "invalid_vad_after_clamp").when(F.size(chunks) == 0, "chunks_below_min_duration").otherwise("chunked"))
 
 
+def _numbered(rows: DataFrame, order: list[Column], flag: str, into: str) -> DataFrame:
+    """Add the running sum of `flag`, over the parts of `spread` rows."""
+    rows = with_carry(rows, F.sum(flag), "sum", "_carried")
+    total = F.sum(flag).over(here(order).rowsBetween(Window.unboundedPreceding, 0)) + F.coalesce("_carried", F.lit(0))
+    return rows.withColumn(into, total).drop("_carried")
+
+
 def merged_rows(df: DataFrame, key: str, start: str, end: str, gap: float) -> DataFrame:
-    """(key, start, end, n): rows joined where a start is at most `gap` after the largest end before it; a running maximum."""
-    w = Window.partitionBy(key).orderBy(start, end)
-    before = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    flagged = df.withColumn("_new", F.coalesce((F.col(start) > before + gap).cast("int"), F.lit(1)))
-    runs = flagged.withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    """(key, start, end, n): rows joined where a start is at most `gap` after the largest end before it; a running maximum.
+
+    A key's rows are spread over tasks by their order; each part is told the largest end and the number of runs before it.
+    """
+    order = [F.col(start), F.col(end), F.xxhash64(*df.columns)]
+    rows = with_carry(spread(df, [key], order), F.max(end), "max", "_top")
+    before = F.greatest(F.max(end).over(here(order).rowsBetween(Window.unboundedPreceding, -1)), F.col("_top"))
+    flagged = rows.withColumn("_new", F.coalesce((F.col(start) > before + gap).cast("int"), F.lit(1)))
+    runs = _numbered(flagged, order, "_new", "_run")
     return runs.groupBy(key, "_run").agg(F.min(start).alias("start"), F.max(end).alias("end"), F.count(F.lit(1)).alias("n")).drop("_run")
 
 
@@ -64,14 +76,21 @@ def runs_and_numbers(df: DataFrame, source: str, start: str, end: str, order: li
     """Add run, clip_num, source_run and universal_id: a run ends where the gap to the row before exceeds `max_gap`.
 
     The gap is to the end of the previous row, not to the largest end so far; numbers start from 0 in every run, and from
-    the second run on the source's name takes the suffix _R{run}.
+    the second run on the source's name takes the suffix _R{run}. A source's rows are spread over tasks by their order; each
+    part is told the last end, the rows and runs before it, and where the last run began.
     """
-    w = Window.partitionBy(source).orderBy(start, *order)
-    cut = F.coalesce((F.col(start) - F.lag(end).over(w) > max_gap).cast("int"), F.lit(0))
-    rows = df.withColumn("_cut", cut).withColumn("run", F.sum("_cut").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_cut")
-    number = F.row_number().over(Window.partitionBy(source, "run").orderBy(start, *order)) - 1
+    by = [F.col(start), *[F.col(c) for c in order]]
+    last = F.max_by(end, F.struct(start, *order))
+    rows = with_carry(spread(df, [source], by), last, "last", "_end")
+    gap = F.col(start) - F.coalesce(F.lag(end).over(here(by)), F.col("_end"))
+    rows = rows.withColumn("_cut", F.coalesce((gap > max_gap).cast("int"), F.lit(0))).withColumn("_one", F.lit(1))
+    rows = _numbered(_numbered(rows, by, "_cut", "run"), by, "_one", "_i")
+    rows = with_carry(rows, F.max(F.when(F.col("_cut") == 1, F.col("_i"))), "max", "_began")
+    began = F.max(F.when(F.col("_cut") == 1, F.col("_i"))).over(here(by).rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("clip_num", F.col("_i") - F.coalesce(began, F.col("_began"), F.lit(1)))
     name = F.when(F.col("run") > 0, F.concat(F.col(source).cast("string"), F.lit("_R"), F.col("run").cast("string"))).otherwise(F.col(source).cast("string"))
-    return rows.withColumn("clip_num", number).withColumn("source_run", name).withColumn("universal_id", universal_id(F.col("source_run"), F.col("clip_num")))
+    out = rows.withColumn("source_run", name).withColumn("universal_id", universal_id(F.col("source_run"), F.col("clip_num")))
+    return out.select(*df.columns, "run", "clip_num", "source_run", "universal_id")
 
 
 def overlap_seconds(chunks: DataFrame, spans: DataFrame, key: str, width: float) -> DataFrame:

@@ -10,6 +10,7 @@ from tidewrack.functions import text as T
 from tidewrack.functions.columns import in_range, usable
 from tidewrack.operators import evaluation as V
 from tidewrack.operators import joins as J
+from tidewrack.operators.ordering import percentiles
 from tidewrack.session import table
 
 
@@ -175,8 +176,9 @@ def size_distribution(spark, sf):
 def duration_stats(spark, sf):
     v = F.when(~F.isnan("duration_secs"), F.col("duration_secs"))
     m = table(spark, sf, "manifest").select("dataset", v.alias("d"))
-    p = F.percentile("d", F.array(F.lit(0.5), F.lit(0.95)))
-    return m.groupBy("dataset").agg(F.round(F.avg("d"), 6).alias("mean"), F.round(p[0], 6).alias("median"), F.round(p[1], 6).alias("p95"))
+    p = percentiles(m, "d", [50.0, 95.0], ["dataset"])
+    mean = m.groupBy("dataset").agg(F.round(F.avg("d"), 6).alias("mean"))
+    return mean.join(p, "dataset", "left").select("dataset", "mean", F.round(F.col("p")[0], 6).alias("median"), F.round(F.col("p")[1], 6).alias("p95"))
 
 
 def duration_histogram(spark, sf):
