@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
 }
 
+_OWN: dict[str, str] = {}  # by application, where no folder is configured
+
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g", **extra: str) -> SparkSession:
     """A local session with the settings that the operators expect of a cluster."""
@@ -35,11 +37,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees: spark.checkpoint.dir; where it is unset, as in tests, a folder of our own."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="tidewrack-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", path)
     sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or _OWN.get(sc.applicationId)
+    if not path:
+        path = _OWN[sc.applicationId] = tempfile.mkdtemp(prefix="tidewrack-checkpoint-")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(path)
     return path
