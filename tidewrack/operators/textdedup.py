@@ -86,13 +86,14 @@ def similar_pairs(reps: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(a, b, shared, score), a < b: all pairs of sets with at least this Jaccard similarity, none left out.
 
     Shingles are ordered from the rarest; two such sets must share one among the first n - ceil(threshold * n) + 1 of
-    each, so only those are joined, under the length bound. Common shingles hardly ever come that far forward.
+    each, so only those are joined, under the length bound. Common shingles hardly ever come that far forward. Shingles are
+    compared by 64-bit hashes, equal ones only adding a candidate; what is returned is verified on the shingles themselves.
     """
-    rows = reps.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
-    seen = rows.groupBy("s").agg(F.count(F.lit(1)).alias("df"))
-    ranked = rows.join(seen, "s").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("o"))
+    rows = reps.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("s")).select("id", "n", F.xxhash64("s").alias("h"))
+    seen = rows.groupBy("h").agg(F.count(F.lit(1)).alias("df"))
+    ranked = rows.join(seen, "h").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("o"))
     keep = F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9)).cast("int") + 1
-    prefix = stored(ranked.select("id", "n", F.explode(F.slice("o", 1, keep)).alias("p")).where("p.df > 1").select("id", "n", F.xxhash64("p.s").alias("h")), "prefix")
+    prefix = stored(ranked.select("id", "n", F.explode(F.slice("o", 1, keep)).alias("p")).where("p.df > 1").select("id", "n", F.col("p.h").alias("h")), "prefix")
     x, y = prefix.alias("x"), prefix.alias("y")
     near = (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * F.lit(threshold) - F.lit(1e-9))
     pairs = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.id") < F.col("y.id")) & near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()

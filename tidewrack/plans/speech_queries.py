@@ -8,7 +8,7 @@ from tidewrack.functions import text as T
 from tidewrack.operators import consensus as C
 from tidewrack.operators import errorrate as E
 from tidewrack.operators import spans as S
-from tidewrack.session import table
+from tidewrack.session import table, widened
 
 GAP, LONGEST, SHORTEST = 600.0, 3600.0, 60.0
 
@@ -80,7 +80,7 @@ def session_languages(spark, sf):
 
 
 def _errors(spark, sf):
-    return E.with_errors(table(spark, sf, "manifest").select("line_no", "dataset", "language", "text", "normalized_text"), "text", "normalized_text")
+    return E.with_errors(widened(table(spark, sf, "manifest").select("line_no", "dataset", "language", "text", "normalized_text")), "text", "normalized_text")
 
 
 def cer(spark, sf):
@@ -117,7 +117,7 @@ def confidences(spark, sf):
 
 def _slots(spark, sf):
     m = table(spark, sf, "manifest").where("text is not null and trim(text) <> ''")
-    return m.select("line_no", "text", F.col("normalized_text").alias("a"), F.regexp_replace("text", r"^(\S+) ", "$1 $1 ").alias("b"), F.regexp_replace("text", r"[aeiou](?=\s)", "").alias("c"))
+    return widened(m.select("line_no", "text", "normalized_text")).select("line_no", "text", F.col("normalized_text").alias("a"), F.regexp_replace("text", r"^(\S+) ", "$1 $1 ").alias("b"), F.regexp_replace("text", r"[aeiou](?=\s)", "").alias("c"))
 
 
 def rover_majority(spark, sf):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewrack.functions import text as T
 from tidewrack.operators import textdedup as D
-from tidewrack.session import stored, table
+from tidewrack.session import stored, table, widened
 
 K, BANDS, WIDTH = 8, 4, 2
 
@@ -32,7 +32,7 @@ def normalize_key(spark, sf):
 
 
 def normalized_text(spark, sf):
-    m = manifest(spark, sf)
+    m = widened(manifest(spark, sf).select("line_no", "text", "language"))
     return m.select("line_no", T.normalize_text(F.col("text"), F.col("language")).alias("key"), T.normalize_text(F.col("text"), F.col("language"), True).alias("bare_key"))
 
 

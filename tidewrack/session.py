@@ -71,3 +71,13 @@ def mounted(path: str) -> str:
     if "://" in path:
         raise ValueError(f"{path} is not a mounted folder")
     return path
+
+
+def widened(df: DataFrame) -> DataFrame:
+    """A plain scan in at least as many partitions as there are cores, for work that is dear by row.
+
+    A table of few row groups would else be worked off by few tasks; one that is split widely enough is left as it is. Only
+    for scans with projections and filters: asking for the partitions of a plan with a shuffle would run it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
