@@ -116,7 +116,8 @@ def ngrams(tokens: Column, n: int, sep: str = " ") -> Column:
     """Runs of `n` tokens; fewer tokens give one run of all, none give none."""
 
     def of(t: Column) -> Column:
-        runs = F.transform(F.sequence(F.lit(1), F.size(t) - (n - 1)), lambda i: F.array_join(F.slice(t, i, n), sep))
+        # elements one by one: taking a slice copies the whole array each time
+        runs = F.transform(F.sequence(F.lit(0), F.size(t) - n), lambda i: F.concat_ws(sep, *[F.get(t, i + k) for k in range(n)]))
         return F.when(F.size(t) >= n, runs).when(F.size(t) > 0, F.array(F.array_join(t, sep))).otherwise(F.array().cast("array<string>"))
 
     return let(tokens, of)
@@ -139,7 +140,7 @@ def error_key(text: Column) -> Column:
 
 def excess_repetition(tokens: Column, n: int = 15, times: int = 5) -> Column:
     """Whether any run of `n` tokens occurs at least `times` times; sorted runs are compared with the one `times` - 1 on."""
-    runs = F.array_sort(ngrams(tokens, n))
+    runs = F.sort_array(ngrams(tokens, n))
     hits = let(runs, lambda r: F.exists(F.sequence(F.lit(1), F.size(r) - (times - 1)), lambda i: F.get(r, i - 1) == F.get(r, i + (times - 2))))
     return F.when(F.size(tokens) >= n + times - 1, hits).otherwise(F.lit(False))
 

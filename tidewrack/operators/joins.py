@@ -29,7 +29,7 @@ def full_outer_slots(slots: dict[str, DataFrame], key: list[str], meta: list[str
         rows = rows.unionByName(p)
     first = [F.min(F.when(F.col(m).isNotNull(), F.struct("_i", m)))[m].alias(m) for m in meta]
     has = [F.max(F.col("_slot") == n).alias(f"has_{n}") for n in slots]
-    entries = F.array_sort(F.collect_list(F.when(F.col("text").isNotNull(), F.struct("_slot", "text"))))
+    entries = F.sort_array(F.collect_list(F.when(F.col("text").isNotNull(), F.struct("_slot", "text"))))
     return rows.groupBy(*key).agg(*first, *has, F.map_from_entries(entries).alias("hypotheses"))
 
 

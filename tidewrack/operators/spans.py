@@ -15,7 +15,7 @@ SPAN = "array<struct<start:double,end:double>>"
 def normalised(spans: Column) -> Column:
     """Spans of an array of [start, end] pairs as whole numbers; those that do not end after their start go; sorted by start."""
     whole = F.transform(spans, lambda p: F.struct(p[0].cast("bigint").alias("start"), p[1].cast("bigint").alias("end")))
-    return F.array_sort(F.filter(whole, lambda s: s["end"] > s["start"]))
+    return F.sort_array(F.filter(whole, lambda s: s["end"] > s["start"]))
 
 
 def seconds(spans: Column, limit: Column, rate: int = SAMPLE_RATE) -> Column:
@@ -148,7 +148,7 @@ def one_language_per_session(rows: DataFrame, session: str, lang: str, weight: s
     import pandas as pd
 
     per = rows.groupBy(session, lang).agg(F.sum(weight).alias("w"))
-    each = per.groupBy(session).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(lang, "w")))).alias("m")).withColumn("o", F.xxhash64(F.lit(seed), session))
+    each = per.groupBy(session).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(lang, "w")))).alias("m")).withColumn("o", F.xxhash64(F.lit(seed), session))
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
         total: dict[str, float] = {}

@@ -2,23 +2,41 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewrack.functions.text import ngrams, words
 from tidewrack.operators.components import connected_components
-from tidewrack.session import cut, stored
+from tidewrack.session import cut, stored, widened
 
 SHINGLE, THRESHOLD = 5, 0.8
 PRIME = 2147483647
+_SPACE = re.compile(r"[ \t\n\r]+")
 #: Buckets up to this size give all their pairs, a bounded number; larger ones are linked through their first member.
 SMALL_BUCKET = 20
 
 
 def shingle_sets(df: DataFrame, key: str, text: str, n: int = SHINGLE) -> DataFrame:
-    """(id, shingles): the distinct runs of `n` words of each text, sorted; texts without words are left out."""
-    s = F.array_sort(F.array_distinct(ngrams(words(F.col(text)), n)))
-    return df.repartition(key).select(F.col(key).alias("id"), s.alias("shingles")).where(F.size("shingles") > 0)
+    """(id, shingles): the distinct runs of `n` words of each text, sorted; a shorter text is one run, one without words none.
+
+    Made in Arrow batches: the array functions that could build them are interpreted, at some twenty times the cost.
+    """
+    kind = df.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep, sets = [], []
+            for i, t in enumerate(batch.column(1).to_pylist()):
+                w = [x for x in _SPACE.split(t or "") if x]
+                if w:
+                    keep.append(i)
+                    sets.append(sorted({" ".join(w[j : j + n]) for j in range(max(1, len(w) - n + 1))}))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())), pa.array(sets, pa.list_(pa.string()))], names=["id", "shingles"])
+
+    return widened(df.select(key, text)).mapInArrow(run, f"id {kind}, shingles array<string>")
 
 
 def base_hash(c: Column) -> Column:
@@ -91,7 +109,7 @@ def similar_pairs(reps: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     rows = reps.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("s")).select("id", "n", F.xxhash64("s").alias("h"))
     seen = rows.groupBy("h").agg(F.count(F.lit(1)).alias("df"))
-    ranked = rows.join(seen, "h").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("o"))
+    ranked = rows.join(seen, "h").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("o"))
     keep = F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9)).cast("int") + 1
     prefix = stored(ranked.select("id", "n", F.explode(F.slice("o", 1, keep)).alias("p")).where("p.df > 1").select("id", "n", F.col("p.h").alias("h")), "prefix")
     x, y = prefix.alias("x"), prefix.alias("y")

@@ -23,7 +23,7 @@ def _spans(spark, sf):
 def _by_day(spark, sf):
     """Spans of a user and day as one bounded array."""
     s = _spans(spark, sf).withColumn("day", F.floor(F.col("start") / 86400))
-    return s.groupBy("user_id", "day").agg(F.array_sort(F.collect_list(F.struct(F.col("start").cast("double").alias("start"), F.col("end").cast("double").alias("end")))).alias("spans"))
+    return s.groupBy("user_id", "day").agg(F.sort_array(F.collect_list(F.struct(F.col("start").cast("double").alias("start"), F.col("end").cast("double").alias("end")))).alias("spans"))
 
 
 def vad_merge(spark, sf):
