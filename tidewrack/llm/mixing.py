@@ -162,5 +162,5 @@ def mixture(documents: DataFrame, weights: DataFrame, vocabulary: Vocabulary | N
     mix = draw(documents, weights, vocabulary)
     parts = segments(documents, mix, vocabulary).join(encoded(documents, vocabulary).where("size(ids) > 0"), "doc_id")
     parts = parts.select("source", "block", "at", F.slice("ids", F.col("first") + 1, F.col("n")).alias("ids"))
-    blocks = parts.groupBy("source", "block").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "ids"))), lambda x: x["ids"])).alias("ids"))
+    blocks = parts.groupBy("source", "block").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("at", "ids"))), lambda x: x["ids"])).alias("ids"))
     return slots(spark, mix).drop("tokens").join(blocks, ["source", "block"]).select("shard", "slot", "source", "use", "block", "ids")

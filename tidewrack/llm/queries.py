@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidewrack.llm import confusables, cutoffs, forest, linkage, mixing, mojibake, rank_fusion, survivors, tokens
-from tidewrack.session import table
+from tidewrack.session import table, widened
 
 _SCALED = " ".join(
     f"case when not isnan({c}) and {c} between {lo} and {hi} then {c} end as {c}," for c, (lo, hi) in rank_fusion.SCALES.items()
@@ -30,6 +30,10 @@ _CUTOFFS = f"""(select c.dataset, t.keep_pct, c.n as candidates, max(c.score) as
  join keep_targets t using (dataset) where c.upto * 100 >= c.n * t.keep_pct group by all)"""
 
 
+def _texts(spark, sf, name, *columns):
+    return widened(table(spark, sf, name).select(*columns))
+
+
 def p1_found(spark, sf):
     return rank_fusion.best(table(spark, sf, "pending_batch"))
 
@@ -52,15 +56,15 @@ def p2_merged(spark, sf):
 
 
 def p3_found(spark, sf):
-    return forest.repeated(table(spark, sf, "manifest"))
+    return forest.repeated(_texts(spark, sf, "manifest", "line_no", "batch_no", "dataset", "cut_id", "text"))
 
 
 def p4_found(spark, sf):
-    return confusables.unified(table(spark, sf, "manifest"), "line_no", ["text", "normalized_text"]).where("found").select("line_no")
+    return confusables.unified(_texts(spark, sf, "manifest", "line_no", "text", "normalized_text"), "line_no", ["text", "normalized_text"]).where("found").select("line_no")
 
 
 def p4_forms(spark, sf):
-    return confusables.unified(table(spark, sf, "manifest"), "line_no", ["text", "normalized_text"])
+    return confusables.unified(_texts(spark, sf, "manifest", "line_no", "text", "normalized_text"), "line_no", ["text", "normalized_text"])
 
 
 def p4_look_alikes(spark, sf):
@@ -80,27 +84,27 @@ def p6_cutoffs(spark, sf):
 
 
 def p8_ids(spark, sf):
-    return tokens.encoded(table(spark, sf, "documents"))
+    return tokens.encoded(_texts(spark, sf, "documents", "doc_id", "text"))
 
 
 def p9_found(spark, sf):
-    return mixing.short_sources(table(spark, sf, "documents"), table(spark, sf, "mix_weights"))
+    return mixing.short_sources(_texts(spark, sf, "documents", "doc_id", "source", "text"), table(spark, sf, "mix_weights"))
 
 
 def p9_shares(spark, sf):
-    return mixing.report(spark, mixing.draw(table(spark, sf, "documents"), table(spark, sf, "mix_weights")))
+    return mixing.report(spark, mixing.draw(_texts(spark, sf, "documents", "doc_id", "source", "text"), table(spark, sf, "mix_weights")))
 
 
 def p9_mixture(spark, sf):
-    return mixing.mixture(table(spark, sf, "documents"), table(spark, sf, "mix_weights"))
+    return mixing.mixture(_texts(spark, sf, "documents", "doc_id", "source", "text"), table(spark, sf, "mix_weights"))
 
 
 def p10_found(spark, sf):
-    return mojibake.garbled_documents(table(spark, sf, "documents"))
+    return mojibake.garbled_documents(_texts(spark, sf, "documents", "doc_id", "text"))
 
 
 def p10_restored(spark, sf):
-    return mojibake.restored(table(spark, sf, "documents"))
+    return mojibake.restored(_texts(spark, sf, "documents", "doc_id", "text"))
 
 
 QUERIES = {

@@ -26,7 +26,7 @@ def latest_scores(scores: DataFrame, scales: dict[str, tuple[float, float]] = SC
 
 def weighted_median(pairs: Column) -> Column:
     """Weighted median of an array of structs (rank, weight); between two middle ranks their mean; null if it is empty."""
-    ordered = F.array_sort(pairs)
+    ordered = F.sort_array(pairs)
     half = F.aggregate(pairs, F.lit(0.0), lambda a, x: a + x["weight"]) / 2
     start = F.struct(F.lit(0.0).alias("cum"), F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"))
 
