@@ -86,3 +86,8 @@ def test_large_buckets_become_stars(spark):
     rows = spark.createDataFrame([(0, "b", i) for i in range(30)] + [(1, "c", i) for i in range(3)], "band int, bucket string, id int")
     pairs = {(r.a, r.b) for r in D.candidates(rows, small=5).collect()}
     assert pairs == {(0, i) for i in range(1, 30)} | {(0, 1), (0, 2), (1, 2)}
+
+
+def test_chain_of_a_large_bucket(spark):
+    rows = spark.createDataFrame([(0, "b", i) for i in range(500)] + [(1, "c", 7), (1, "d", 8)], "band int, bucket string, id int")
+    assert sorted((r.a, r.b) for r in D.chained(rows.repartition(3)).collect()) == [(i, i + 1) for i in range(499)]

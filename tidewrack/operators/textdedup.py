@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewrack.operators.components import connected_components
+from tidewrack.operators.ordering import here, spread, with_carry
 from tidewrack.session import cut, stored, widened
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -72,9 +73,11 @@ def candidates(rows: DataFrame, small: int = SMALL_BUCKET) -> DataFrame:
 
 
 def chained(rows: DataFrame) -> DataFrame:
-    """(band, a, b): each member of a bucket with the one before it, m - 1 pairs for m members."""
-    w = Window.partitionBy("band", "bucket").orderBy("id")
-    return rows.withColumn("a", F.lag("id").over(w)).where("a is not null").select("band", "a", F.col("id").alias("b"))
+    """(band, a, b): each member of a bucket with the one before it, m - 1 pairs for m members, also of a bucket of most rows."""
+    order = [F.col("id")]
+    parts = with_carry(spread(rows.select("band", "bucket", "id"), ["band", "bucket"], order), F.max("id"), "max", "_last")
+    before = F.coalesce(F.lag("id").over(here(order)), F.col("_last"))
+    return parts.select("band", before.alias("a"), F.col("id").alias("b")).where("a is not null")
 
 
 def estimated(pairs: DataFrame, signatures: DataFrame, k: int) -> DataFrame:
