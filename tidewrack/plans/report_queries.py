@@ -14,9 +14,9 @@ from tidewrack.operators.ordering import percentiles
 from tidewrack.session import table
 
 
-def _latest(spark, sf):
+def _latest(spark, sf, *rest):
+    """The named columns of each record's latest decision; no other column is read."""
     a = table(spark, sf, "assignments")
-    rest = [c for c in a.columns if c not in ("dataset", "cut_id", "decided_at", "run_no")]
     b = a.groupBy("dataset", "cut_id").agg(F.max(F.struct("decided_at", "run_no", *rest)).alias("b"))
     return b.select("dataset", "cut_id", "b.*")
 
@@ -25,7 +25,7 @@ def _latest(spark, sf):
 
 
 def exclude_removed(spark, sf):
-    gone = _latest(spark, sf).where("not is_kept")
+    gone = _latest(spark, sf, "is_kept").where("not is_kept")
     return J.unmatched(table(spark, sf, "manifest").select("line_no", "dataset", "cut_id"), gone, ["dataset", "cut_id"])
 
 
@@ -45,7 +45,7 @@ def cross_dataset_overlap(spark, sf):
 
 def full_outer_slots(spark, sf):
     m = table(spark, sf, "manifest").groupBy("dataset", "cut_id").agg(F.max(F.struct("line_no", "language", "text")).alias("b")).select("dataset", "cut_id", F.col("b.language").alias("language"), "b.text")
-    a = _latest(spark, sf).select("dataset", "cut_id", F.lit(None).cast("string").alias("language"), F.col("keep_reason").alias("text"))
+    a = _latest(spark, sf, "keep_reason").select("dataset", "cut_id", F.lit(None).cast("string").alias("language"), F.col("keep_reason").alias("text"))
     c = table(spark, sf, "clusters").groupBy("dataset", "cut_id").agg(F.max("text_cluster_id").cast("string").alias("text")).withColumn("language", F.lit("xx"))
     out = J.full_outer_slots({"own": m, "decided": a, "cluster": c}, ["dataset", "cut_id"], ["language"])
     return out.select("dataset", "cut_id", "language", "has_own", "has_decided", "has_cluster", F.array_join(F.map_keys("hypotheses"), ",").alias("slots"))
@@ -83,7 +83,7 @@ def exact_recording_dedup(spark, sf):
 def clean_against_degraded(spark, sf):
     """Each record of an audio group next to the group's best score."""
     c = table(spark, sf, "clusters").where("audio_cluster_id is not null").select("audio_cluster_id", "dataset", "cut_id").distinct()
-    q = c.join(_latest(spark, sf).select("dataset", "cut_id", usable(F.col("quality_score")).alias("q")), ["dataset", "cut_id"], "left")
+    q = c.join(_latest(spark, sf, "quality_score").select("dataset", "cut_id", usable(F.col("quality_score")).alias("q")), ["dataset", "cut_id"], "left")
     top = q.groupBy("audio_cluster_id").agg(F.max("q").alias("best"))
     return q.join(top, "audio_cluster_id").select("audio_cluster_id", "dataset", "cut_id", F.round(F.col("best").cast("double") - F.col("q").cast("double"), 4).alias("behind"))
 
@@ -112,18 +112,18 @@ def purity(spark, sf):
 
 
 def keepbest_contrast(spark, sf):
-    rows = _latest(spark, sf).where("audio_cluster_id >= 0 and is_kept is not null")
+    rows = _latest(spark, sf, "audio_cluster_id", "is_kept", "quality_score").where("audio_cluster_id >= 0 and is_kept is not null")
     return V.keep_best_contrast(rows.select(F.col("audio_cluster_id").alias("cluster"), F.coalesce(usable(F.col("quality_score")) > 0, F.lit(False)).alias("good"), F.col("is_kept").alias("kept")))
 
 
 def gate_prf(spark, sf):
-    rows = _latest(spark, sf).where("low_quality is not null and is_kept is not null")
+    rows = _latest(spark, sf, "low_quality", "is_kept").where("low_quality is not null and is_kept is not null")
     return V.confusion(rows, ["dataset"], ~F.col("is_kept"), F.col("low_quality"))
 
 
 def _labelled(spark, sf):
     q = usable(F.col("quality_score")).cast("double")
-    return _latest(spark, sf).select("dataset", q.alias("score"), usable(F.col("gate_score")).cast("double").alias("gate"), F.col("duration_secs").cast("double").alias("secs"), F.col("is_kept").alias("label"))
+    return _latest(spark, sf, "quality_score", "gate_score", "duration_secs", "is_kept").select("dataset", q.alias("score"), usable(F.col("gate_score")).cast("double").alias("gate"), F.col("duration_secs").cast("double").alias("secs"), F.col("is_kept").alias("label"))
 
 
 def auroc_by_group(spark, sf):
@@ -152,14 +152,14 @@ def spearman_by_dataset(spark, sf):
 
 
 def outcome_rollup(spark, sf):
-    rows = _latest(spark, sf)
+    rows = _latest(spark, sf, "duration_secs", "is_kept", "is_duplicate", "low_quality")
     hours = F.round(F.sum(F.coalesce(F.col("duration_secs").cast("double"), F.lit(0.0))) / 3600, 5).alias("hours")
     out = rows.rollup("dataset").agg(F.count(F.lit(1)).alias("cuts"), hours, F.count_if("is_kept").alias("kept"), F.count_if("is_duplicate").alias("duplicates"), F.count_if("low_quality").alias("low_quality"))
     return out.withColumn("dataset", F.coalesce("dataset", F.lit("ALL")))
 
 
 def removed_by_reason(spark, sf):
-    rows = _latest(spark, sf).where("not is_kept").withColumn("reason", F.regexp_replace(F.lower("retention_reason"), "[^a-z]", ""))
+    rows = _latest(spark, sf, "is_kept", "retention_reason", "duration_secs").where("not is_kept").withColumn("reason", F.regexp_replace(F.lower("retention_reason"), "[^a-z]", ""))
     return rows.groupBy("reason").agg(F.count(F.lit(1)).alias("cuts"), F.round(F.sum(F.coalesce(F.col("duration_secs").cast("double"), F.lit(0.0))) / 3600, 5).alias("hours"))
 
 
