@@ -133,6 +133,24 @@ def test_hough_and_shared(spark):
     assert {(r.a, r.shared) for r in P.shared_hashes(pairs, p).collect()} == {("a", 4), ("c", 2)}
 
 
+def test_clips_meet_in_groups_of_any_size(spark):
+    n = P.HUGE_GROUP + 100
+    post = [(c, c * 10 + i, i) for c in range(n) for i in range(2)] + [(c, 7_000_000 + i, 5 + i + c // 1000) for c in (17, 2900) for i in range(6)]
+    post += [(c, 9_000_000, 40 + c) for c in range(0, n, 100)] + [(n, None, -1)]  # a hash that many hold
+    p = spark.createDataFrame(post, "clip int, hash long, t_hash int")
+    members = spark.createDataFrame([("g", c) for c in range(n + 1)] + [("h", 17), ("h", 2900)], "grp string, clip int")
+    got = {(r.a, r.b): r for r in P.group_hough(members, p).collect()}
+    hot = list(range(0, n, 100))
+    assert set(got) == {(a, b) for a in hot for b in hot if a < b} | {(17, 2900)}
+    assert tuple(got[17, 2900]) == (17, 2900, 6, -2, 6, 6)
+    assert {(r.a, r.b): r.shared for r in P.group_shared_hashes(members, p).collect()} == {k: 6 if k == (17, 2900) else 1 for k in got}
+    clips = p.groupBy("clip").agg(F.count("hash").alias("n"), F.max("t_hash").alias("frames"))
+    groups = P.match_groups(members, P.confirmed(P.group_hough(members, p), clips))
+    assert {r.clip: (r.group, r.max_match_score) for r in groups.where("max_match_score > 0").collect()} == {17: (17, 6), 2900: (17, 6)}
+    shards = P.meetings(members.where("grp = 'g'"), p.withColumnRenamed("t_hash", "v"), 4)
+    assert shards.count() == shards.distinct().count() == len(hot) * (len(hot) - 1) // 2 + 6
+
+
 def test_silence_and_tones(spark):
     silent = spark.createDataFrame([("s", t, f, 0.0) for t in range(20) for f in range(4)], "clip string, t int, f int, energy double")
     assert P.time_peaks(silent, 4).count() == 0

@@ -11,8 +11,10 @@ from tidewrack.operators.components import connected_components
 FRAME_RATE, BIN_RATE = 40.0, 12.5
 NEAREST, FARTHEST = 4, 20
 FIELDS = {"fb": 6, "fk": 6, "ff": 6, "dtb": 4, "dtf": 4}
-#: Groups up to this size are compared pair by pair, a bounded number; larger ones with their first clip only.
+#: Groups up to this size are compared pair by pair in `comparisons`, larger ones with their first clip only; the SQL of the queries does so.
 SMALL_GROUP, HUGE_GROUP = 20, 5000
+#: A hash that more postings of a group hold is met in several shards.
+SHARD = 500
 
 
 def packed(fb: Column, fk: Column, ff: Column, dtb: Column, dtf: Column) -> Column:
@@ -95,6 +97,32 @@ def comparisons(members: DataFrame, small: int = SMALL_GROUP, huge: int = HUGE_G
     return pairs.select("grp", "a", "b").union(star).union(chain).distinct(), sizes.where(F.col("n") > huge).select("grp", "n")
 
 
+def meetings(members: DataFrame, postings: DataFrame, shard: int = SHARD) -> DataFrame:
+    """(grp, a, b, hash, va, vb), a < b: every two postings of one hash by two clips of one group, in groups of any size.
+
+    Members: (grp, clip), distinct; postings: (clip, hash, v). Clips are never paired off, they meet where they share a hash;
+    hashes of one clip only are left out first, and a frequent one is cut into shards of `shard` postings of `a`.
+    """
+    rows = members.join(postings.where("hash is not null"), "clip")
+    n = rows.groupBy("grp", "hash").agg(F.ceil(F.count(F.lit(1)) / shard).cast("int").alias("shards"), F.min("clip").alias("_lo"), F.max("clip").alias("_hi")).where("_lo < _hi").drop("_lo", "_hi")
+    both = rows.join(n, ["grp", "hash"])
+    x = both.select("grp", "hash", F.pmod(F.xxhash64("clip", "v"), "shards").cast("int").alias("shard"), F.col("clip").alias("a"), F.col("v").alias("va"))
+    y = both.select("grp", "hash", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), F.col("clip").alias("b"), F.col("v").alias("vb"))
+    return x.join(y, ["grp", "hash", "shard"]).where("a < b").drop("shard")
+
+
+def _votes(hits: DataFrame, *by: str) -> DataFrame:
+    return hits.groupBy(*by, "a", "b", (F.col("ta") - F.col("tb")).alias("delta")).agg(
+        F.count(F.lit(1)).alias("n"), (F.max("ta") - F.min("ta") + 1).alias("span_a"), (F.max("tb") - F.min("tb") + 1).alias("span_b"))
+
+
+def _best(votes: DataFrame, tolerance: int) -> DataFrame:
+    w = Window.partitionBy("a", "b").orderBy("delta").rangeBetween(-tolerance, tolerance)
+    wide = votes.withColumn("score", F.sum("n").over(w) if tolerance else F.col("n"))
+    best = wide.groupBy("a", "b").agg(F.max(F.struct("score", (-F.col("delta")).alias("d"), "span_a", "span_b")).alias("x"))
+    return best.select("a", "b", "x.score", (-F.col("x.d")).alias("delta"), "x.span_a", "x.span_b")
+
+
 def hough(pairs: DataFrame, postings: DataFrame, tolerance: int = 0) -> DataFrame:
     """(a, b, score, delta, span_a, span_b): votes of equal hashes for each time offset of b against a.
 
@@ -104,12 +132,14 @@ def hough(pairs: DataFrame, postings: DataFrame, tolerance: int = 0) -> DataFram
     p = postings.where("hash is not null and t_hash >= 0")
     left = pairs.join(p.select(F.col("clip").alias("a"), "hash", F.col("t_hash").alias("ta")), "a")
     hits = left.join(p.select(F.col("clip").alias("b"), "hash", F.col("t_hash").alias("tb")), ["b", "hash"])
-    votes = hits.groupBy("a", "b", (F.col("ta") - F.col("tb")).alias("delta")).agg(
-        F.count(F.lit(1)).alias("n"), (F.max("ta") - F.min("ta") + 1).alias("span_a"), (F.max("tb") - F.min("tb") + 1).alias("span_b"))
-    w = Window.partitionBy("a", "b").orderBy("delta").rangeBetween(-tolerance, tolerance)
-    wide = votes.withColumn("score", F.sum("n").over(w) if tolerance else F.col("n"))
-    best = wide.groupBy("a", "b").agg(F.max(F.struct("score", (-F.col("delta")).alias("d"), "span_a", "span_b")).alias("x"))
-    return best.select("a", "b", "x.score", (-F.col("x.d")).alias("delta"), "x.span_a", "x.span_b")
+    return _best(_votes(hits), tolerance)
+
+
+def group_hough(members: DataFrame, postings: DataFrame, tolerance: int = 0) -> DataFrame:
+    """`hough` of all pairs a < b of clips that share a group. Members: (grp, clip), distinct."""
+    hits = meetings(members, postings.where("t_hash >= 0").select("clip", "hash", F.col("t_hash").alias("v"))).withColumnsRenamed({"va": "ta", "vb": "tb"})
+    votes = _votes(hits, "grp").groupBy("a", "b", "delta").agg(F.max("n").alias("n"), F.max("span_a").alias("span_a"), F.max("span_b").alias("span_b"))  # the same in each group of both
+    return _best(votes, tolerance)
 
 
 def shared_hashes(pairs: DataFrame, postings: DataFrame) -> DataFrame:
@@ -119,6 +149,12 @@ def shared_hashes(pairs: DataFrame, postings: DataFrame) -> DataFrame:
     return both.groupBy("a", "b").agg(F.sum(F.least("ca", "cb")).alias("shared"))
 
 
+def group_shared_hashes(members: DataFrame, postings: DataFrame) -> DataFrame:
+    """`shared_hashes` of all pairs a < b of clips that share a group. Members: (grp, clip), distinct."""
+    n = postings.where("hash is not null").groupBy("clip", "hash").agg(F.count(F.lit(1)).alias("v"))
+    return meetings(members, n).groupBy("grp", "a", "b").agg(F.sum(F.least("va", "vb")).alias("shared")).groupBy("a", "b").agg(F.max("shared").alias("shared"))
+
+
 def confirmed(votes: DataFrame, clips: DataFrame, min_points: int = 3, min_score: int = 5, fraction: float = 0.1, span_ratio: float = 0.5, strong: float = 0.5) -> DataFrame:
     """Votes that are a match. Clips: (clip, n, frames), their hashes and length (0 or less: unknown).
 

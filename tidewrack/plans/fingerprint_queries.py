@@ -21,7 +21,7 @@ def _points(spark, sf):
 
 
 def _signatures(spark, sf):
-    return P.signatures(_points(spark, sf))
+    return P.signatures(stored(_points(spark, sf), "points"))
 
 
 def _members(spark, sf):
@@ -30,10 +30,6 @@ def _members(spark, sf):
     return d.select(F.col("recording_id").alias("grp"), F.col("doc_id").alias("clip")).distinct()
 
 
-def _pairs(spark, sf):
-    return P.comparisons(_members(spark, sf))[0].select("a", "b").distinct()
-
-
 def pack_hash(spark, sf):
     s = table(spark, sf, "events").select("event_id", *[(F.col("event_id") * (i + 3) % m).alias(n) for i, (n, m) in enumerate((("fb", 64), ("fk", 64), ("ff", 64), ("dtb", 20), ("dtf", 20)))])
     h = s.select("event_id", P.packed(*[F.col(c) for c in P.FIELDS]).alias("hash"))
@@ -58,22 +54,22 @@ def triplet_signatures(spark, sf):
 
 
 def hough_votes(spark, sf):
-    return P.hough(_pairs(spark, sf), stored(_signatures(spark, sf), "signatures"))
+    return P.group_hough(_members(spark, sf), stored(_signatures(spark, sf), "signatures"))
 
 
 def hough_tolerant(spark, sf):
-    return P.hough(_pairs(spark, sf), stored(_signatures(spark, sf), "signatures"), 1)
+    return P.group_hough(_members(spark, sf), stored(_signatures(spark, sf), "signatures"), 1)
 
 
 def shared_hash_count(spark, sf):
-    return P.shared_hashes(_pairs(spark, sf), stored(_signatures(spark, sf), "signatures"))
+    return P.group_shared_hashes(_members(spark, sf), stored(_signatures(spark, sf), "signatures"))
 
 
 def _confirmed(spark, sf):
     s = stored(_signatures(spark, sf), "signatures")
     frames = F.max(F.when(F.col("t_hash") >= 0, F.col("t_hash") + 1).otherwise(0)).alias("frames")
     clips = s.groupBy("clip").agg(F.max("n_hashes_total").alias("n"), frames)
-    return P.confirmed(P.hough(_pairs(spark, sf), s), clips)
+    return P.confirmed(P.group_hough(_members(spark, sf), s), clips)
 
 
 def hough_confirmed(spark, sf):
