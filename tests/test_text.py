@@ -91,3 +91,17 @@ def test_large_buckets_become_stars(spark):
 def test_chain_of_a_large_bucket(spark):
     rows = spark.createDataFrame([(0, "b", i) for i in range(500)] + [(1, "c", 7), (1, "d", 8)], "band int, bucket string, id int")
     assert sorted((r.a, r.b) for r in D.chained(rows.repartition(3)).collect()) == [(i, i + 1) for i in range(499)]
+
+
+def test_contained_pairs_are_those_of_brute_force(spark):
+    random.seed(5)
+    sets = {i: {f"w{random.randrange(400)}" for _ in range(random.choice((1, 2, 4, 30, 120)))} for i in range(80)}
+    for i in range(40):  # parts of texts up to thirty times as long
+        whole = sorted(sets[random.randrange(80)] | {f"v{i}-{j}" for j in range(60)})
+        sets[100 + 2 * i], sets[101 + 2 * i] = set(whole), set(random.sample(whole, random.choice((3, 6, 20)))) | {f"u{i}"}
+    sets |= {300 + i: {"x1", "x2", "x3", "x4", f"y{i}"} for i in range(30)}  # a shingle of many
+    want = {(a, b, len(sets[a] & sets[b])) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= max(3, 0.8 * min(len(sets[a]), len(sets[b])))}
+    df = spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()], "id int, shingles array<string>")
+    got = [(r.a, r.b, r.shared) for r in D.contained_pairs(df, 0.8, 3).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 435
+    assert any(len(sets[a]) > 10 * len(sets[b]) for a, b, _ in want)

@@ -121,6 +121,27 @@ def similar_pairs(reps: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return verified(pairs, reps, threshold)
 
 
+def contained_pairs(sets: DataFrame, threshold: float = THRESHOLD, min_shared: int = 1) -> DataFrame:
+    """(a, b, shared, score), a < b: all pairs that share this part of the smaller set and `min_shared` shingles, none left out.
+
+    Of n shingles of the smaller set, ordered from the rarest, the larger one holds at least `need`, so also one of the first
+    n - need + 1, however long it is: those are looked up among all shingles of the others. Shingles of one text only come
+    first and meet nothing, so only the rest is ordered. Hashes only add candidates, as in `similar_pairs`.
+    """
+    rows = sets.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("s")).select("id", "n", F.xxhash64("s").alias("h"))
+    seen = F.count(F.lit(1)).over(Window.partitionBy("h"))  # counts and rows in one shuffle, which is the bulk of the disk
+    shared = stored(rows.withColumn("df", seen).where("df > 1"), "shared")
+    need = F.greatest(F.lit(min_shared), F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9)).cast("int"))
+    ranked = shared.groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("o"))
+    prefix = ranked.select("id", "n", F.explode(F.slice("o", 1, F.greatest(F.size("o") - need + 1, F.lit(0)))).alias("p")).select("id", "n", F.col("p.h").alias("h"))
+    x, y = prefix.alias("x"), shared.alias("y")
+    larger = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.id") < F.col("y.id")))
+    pairs = x.join(y, (F.col("x.h") == F.col("y.h")) & larger).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    pairs = stored(pairs, "pairs")
+    ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    return verified(pairs, stored(sets.join(ends, "id", "left_semi"), "sets"), threshold, min_shared, True)
+
+
 def duplicate_classes(df: DataFrame, key: str, text: str, n: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """(id, class_id, class_size, links): texts linked directly or indirectly by exact Jaccard similarity of word shingles.
 

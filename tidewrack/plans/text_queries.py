@@ -94,9 +94,7 @@ def word_jaccard_pairs(spark, sf):
 
 
 def word_containment_pairs(spark, sf):
-    sets = stored(_sets(spark, sf), "sets")
-    pairs = D.candidates(D.buckets(D.minhash(sets, K), BANDS, WIDTH))
-    return D.verified(pairs, sets, 0.8, 3, True).withColumn("score", F.round("score", 6))
+    return D.contained_pairs(_sets(spark, sf), 0.8, 3).withColumn("score", F.round("score", 6))
 
 
 def duplicate_classes(spark, sf):
