@@ -105,3 +105,14 @@ def test_contained_pairs_are_those_of_brute_force(spark):
     got = [(r.a, r.b, r.shared) for r in D.contained_pairs(df, 0.8, 3).collect()]
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 435
     assert any(len(sets[a]) > 10 * len(sets[b]) for a, b, _ in want)
+
+
+def test_clusters_hold_texts_just_near_enough(spark):
+    rng, rows = random.Random(6), []
+    for kind in range(80):  # two words of 100 changed: a Jaccard similarity of 0.81
+        w = [f"k{kind}-{i}" for i in range(100)]
+        rows.append((2 * kind, " ".join(w)))
+        w[rng.randrange(10, 40)], w[rng.randrange(60, 90)] = "x", "y"
+        rows.append((2 * kind + 1, " ".join(w)))
+    got = D.lsh_clusters(spark.createDataFrame(rows, "doc_id int, text string"), "doc_id", "text").collect()
+    assert {(r.id, r.cluster_id, r.cluster_size) for r in got} == {(i, i // 2, 2) for i in range(160)}

@@ -159,20 +159,16 @@ def duplicate_classes(df: DataFrame, key: str, text: str, n: int = SHINGLE, thre
     return membership.join(classes.drop("copies"), "rep").join(sizes, "class_id").select("id", "class_id", "class_size", "links")
 
 
-def lsh_clusters(df: DataFrame, key: str, text: str, k: int = 32, bands: int = 8, width: int = 4, threshold: float = THRESHOLD, max_fraction: float | None = None) -> DataFrame:
+def lsh_clusters(df: DataFrame, key: str, text: str, threshold: float = THRESHOLD, max_fraction: float | None = None) -> DataFrame:
     """(id, cluster_id, cluster_size): clusters of two or more texts, numbered from 0 by their smallest text.
 
-    Equal signatures are one vertex; bucket candidates are confirmed by their estimate, then exactly. If more than
-    `max_fraction` of the texts end up in clusters, it raises: the parameters are then too loose.
+    Equal sets are one vertex; the pairs are those of `similar_pairs`, so none is lost to banding, estimates or the size of a
+    bucket. If more than `max_fraction` of the texts end up in clusters, it raises: the parameters are then too loose.
     """
-    sets = stored(shingle_sets(df, key, text), "sets")
-    signatures = stored(minhash(sets, k), "signatures")
-    first = signatures.groupBy("signature").agg(F.min("id").alias("first"))
-    same = signatures.join(first, "signature").select(F.col("first").alias("a"), F.col("id").alias("b"))
-    heads = stored(same.where("a = b").join(signatures, F.col("a") == F.col("id")).select("id", "signature"), "heads")
-    close = estimated(candidates(buckets(heads, bands, width)), heads, k).where(F.col("estimate") >= threshold - 0.1)
-    edges = verified(close.select("a", "b"), sets, threshold).select("a", "b").union(same.where("a <> b"))
-    return numbered(connected_components(edges), sets.select("id").distinct(), max_fraction)
+    reps, membership = distinct_sets(shingle_sets(df, key, text))
+    same = membership.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+    edges = similar_pairs(reps, threshold).select("a", "b").union(same)
+    return numbered(connected_components(edges), membership.select("id"), max_fraction)
 
 
 def numbered(roots: DataFrame, everything: DataFrame, max_fraction: float | None = None) -> DataFrame:
