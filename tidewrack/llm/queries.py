@@ -60,7 +60,7 @@ def p3_found(spark, sf):
 
 
 def p4_found(spark, sf):
-    return confusables.unified(_texts(spark, sf, "manifest", "line_no", "text", "normalized_text"), "line_no", ["text", "normalized_text"]).where("found").select("line_no")
+    return confusables.unusual(_texts(spark, sf, "manifest", "line_no", "text", "normalized_text"), "line_no", ["text", "normalized_text"])
 
 
 def p4_forms(spark, sf):
@@ -68,7 +68,7 @@ def p4_forms(spark, sf):
 
 
 def p4_look_alikes(spark, sf):
-    return confusables.look_alikes(table(spark, sf, "manifest"), "text")
+    return confusables.look_alikes(_texts(spark, sf, "manifest", "text", "normalized_text"), ["text", "normalized_text"])
 
 
 def p5_found(spark, sf):
