@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewrack.operators.components import connected_components
+from tidewrack.session import cut
 
 # Frames per second, key point bins, partner distances, and the five fields of a signature with their widths.
 FRAME_RATE, BIN_RATE = 40.0, 12.5
 NEAREST, FARTHEST = 4, 20
 FIELDS = {"fb": 6, "fk": 6, "ff": 6, "dtb": 4, "dtf": 4}
-#: Groups up to this size are compared pair by pair in `comparisons`, larger ones with their first clip only; the SQL of the queries does so.
-SMALL_GROUP, HUGE_GROUP = 20, 5000
+#: Groups above this size are first parted by shared hashes, of which two clips need so many.
+LARGE_GROUP, MIN_SHARED = 200, 5
 #: A hash that more postings of a group hold is met in several shards.
 SHARD = 500
 
@@ -81,20 +82,27 @@ def signatures(points: DataFrame, m: int = NEAREST, far: int = FARTHEST) -> Data
     return clips.join(found, "clip", "left").select("clip", "hash", F.coalesce("t_hash", F.lit(-1)).alias("t_hash"), F.coalesce("n", F.lit(0)).cast("int").alias("n_hashes_total"))
 
 
-def comparisons(members: DataFrame, small: int = SMALL_GROUP, huge: int = HUGE_GROUP) -> tuple[DataFrame, DataFrame]:
-    """(grp, a, b) to compare, and (grp, n) of huge groups, which are only reported. Members: (grp, clip), distinct.
+def large_groups(members: DataFrame, above: int) -> DataFrame:
+    """(grp, n): groups of more than `above` clips. Members: (grp, clip), distinct."""
+    return members.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > above)
 
-    Groups up to `small` give all pairs; larger ones give each member with the first and with the one before it.
+
+def subgroups(members: DataFrame, postings: DataFrame, above: int = LARGE_GROUP, min_shared: int = MIN_SHARED) -> DataFrame:
+    """(grp, clip, sub): the parts in which a large group is compared; smaller groups are one part.
+
+    In a group of more than `above` clips two clips belong together that share `min_shared` hashes, counted with
+    multiplicity, directly or through others; `sub` is the smallest clip of the part. Clips that share fewer cannot match.
     """
-    sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.min("clip").alias("first"))
-    rows = members.join(sizes, "grp")
-    few = rows.where(F.col("n") <= small).select("grp", "clip")
-    pairs = few.withColumnRenamed("clip", "a").join(few.withColumnRenamed("clip", "b"), "grp").where("a < b")
-    many = rows.where((F.col("n") > small) & (F.col("n") <= huge))
-    before = F.lag("clip").over(Window.partitionBy("grp").orderBy("clip"))  # at most `huge` rows
-    star = many.where("clip <> first").select("grp", F.col("first").alias("a"), F.col("clip").alias("b"))
-    chain = many.select("grp", before.alias("a"), F.col("clip").alias("b")).where("a is not null")
-    return pairs.select("grp", "a", "b").union(star).union(chain).distinct(), sizes.where(F.col("n") > huge).select("grp", "n")
+    big = cut(large_groups(members, above).select("grp"))
+    some = members.join(big, "grp", "left_semi")
+    n = postings.where("hash is not null").groupBy("clip", "hash").agg(F.count(F.lit(1)).alias("v"))
+    shared = meetings(some, n).groupBy("grp", "a", "b").agg(F.sum(F.least("va", "vb")).alias("shared")).where(F.col("shared") >= min_shared)
+    ends = shared.select(*[F.struct("grp", F.col(c).alias("clip")).alias(c) for c in "ab"])
+    roots = connected_components(ends).select("node.grp", "node.clip", F.col("root.clip").alias("sub"))
+    large = some.join(roots, ["grp", "clip"], "left").select("grp", "clip", F.coalesce("sub", "clip").alias("sub"))
+    rest = members.join(big, "grp", "left_anti")
+    first = rest.groupBy("grp").agg(F.min("clip").alias("sub"))  # groups of at most `above` clips
+    return large.union(rest.join(first, "grp").select("grp", "clip", "sub"))
 
 
 def meetings(members: DataFrame, postings: DataFrame, shard: int = SHARD) -> DataFrame:

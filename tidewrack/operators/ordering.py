@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tidewrack.session import cut
 
 
-def running_total(df: DataFrame, group: list[str], order: list[Column], weight: str, into: str) -> DataFrame:
-    """Add `into`, the sum of `weight` over the rows of the group up to and with this one in `order`.
+def running_total(df: DataFrame, group: list[str], order: list[Column], weight: str, into: str, total: str | None = None) -> DataFrame:
+    """Add `into`, the sum of `weight` over the rows of the group up to and with this one in `order`; and `total`, that of all.
 
     Rows are range-partitioned by (group, order), so a group that holds most rows is spread over many tasks; each
     task sums its own stretch and adds the total of the stretches before it, of which there are (groups + tasks).
@@ -21,7 +21,8 @@ def running_total(df: DataFrame, group: list[str], order: list[Column], weight:
     ranged = cut(keyed.repartitionByRange(n, F.col("__group"), *order).withColumn("__part", F.spark_partition_id()))
     sums = ranged.groupBy("__group", "__part").agg(F.sum(weight).alias("__sum"))
     before = Window.partitionBy("__group").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("__before", F.coalesce(F.sum("__sum").over(before), F.lit(0))).drop("__sum")
+    of_all = [F.sum("__sum").over(Window.partitionBy("__group")).alias(total)] if total else []
+    sums = sums.select("__group", "__part", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__before"), *of_all)
     here = F.sum(weight).over(Window.partitionBy("__group", "__part").orderBy(*order))
     return ranged.withColumn("__here", here).join(sums, ["__group", "__part"]).withColumn(into, F.col("__here") + F.col("__before")).drop("__group", "__part", "__here", "__before")
 

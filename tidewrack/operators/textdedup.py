@@ -16,14 +16,16 @@ from tidewrack.session import cut, stored, widened
 SHINGLE, THRESHOLD = 5, 0.8
 PRIME = 2147483647
 _SPACE = re.compile(r"[ \t\n\r]+")
-#: Buckets up to this size give all their pairs, a bounded number; larger ones are linked through their first member.
-SMALL_BUCKET = 20
+_TOKEN = re.compile(r"\w+")
+#: A bucket or shingle that more rows hold than this is met in several shards.
+SHARD = 500
 
 
-def shingle_sets(df: DataFrame, key: str, text: str, n: int = SHINGLE) -> DataFrame:
+def shingle_sets(df: DataFrame, key: str, text: str, n: int = SHINGLE, tokens: bool = False) -> DataFrame:
     """(id, shingles): the distinct runs of `n` words of each text, sorted; a shorter text is one run, one without words none.
 
-    Made in Arrow batches: the array functions that could build them are interpreted, at some twenty times the cost.
+    Words stand between spaces; with `tokens` they are runs of letters, digits and underscores. Made in Arrow batches: the
+    array functions that could build them are interpreted, at some twenty times the cost.
     """
     kind = df.schema[key].dataType.simpleString()
 
@@ -31,7 +33,7 @@ def shingle_sets(df: DataFrame, key: str, text: str, n: int = SHINGLE) -> DataFr
         for batch in batches:
             keep, sets = [], []
             for i, t in enumerate(batch.column(1).to_pylist()):
-                w = [x for x in _SPACE.split(t or "") if x]
+                w = _TOKEN.findall(t or "") if tokens else [x for x in _SPACE.split(t or "") if x]
                 if w:
                     keep.append(i)
                     sets.append(sorted({" ".join(w[j : j + n]) for j in range(max(1, len(w) - n + 1))}))
@@ -40,6 +42,21 @@ def shingle_sets(df: DataFrame, key: str, text: str, n: int = SHINGLE) -> DataFr
     return widened(df.select(key, text)).mapInArrow(run, f"id {kind}, shingles array<string>")
 
 
+def char_sets(df: DataFrame, key: str, text: str, n: int = 12, pad: bool = True) -> DataFrame:
+    """(id, shingles): the distinct runs of `n` characters of each text, sorted; a shorter text is one run, filled up with NUL
+    if `pad`; an empty or null one gives no row."""
+    kind = df.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            keep = [i for i, t in enumerate(texts) if t]
+            sets = [sorted({t[j : j + n] for j in range(len(t) - n + 1)} or {t.ljust(n, "\0") if pad else t}) for t in (texts[i] for i in keep)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())), pa.array(sets, pa.list_(pa.string()))], names=["id", "shingles"])
+
+    return widened(df.select(key, text)).mapInArrow(run, f"id {kind}, shingles array<string>")
+
+
 def base_hash(c: Column) -> Column:
     """60 bits of md5, reduced below PRIME; the same in any engine that has md5."""
     return F.conv(F.substring(F.md5(c), 1, 15), 16, 10).cast("bigint") % PRIME
@@ -57,19 +74,31 @@ def minhash(sets: DataFrame, k: int) -> DataFrame:
 
 
 def buckets(signatures: DataFrame, bands: int, width: int) -> DataFrame:
-    """(band, bucket, id): one row per text and band; `bands` * `width` must not exceed the signature."""
+    """(band, bucket, id): one row per text and band; raises where `bands` * `width` exceed a signature."""
+    size = F.size("signature")
+    whole = F.when(size < bands * width, F.raise_error(F.lit("the bands are longer than the signature"))).otherwise(F.col("signature"))
+    signatures = signatures.select("id", whole.alias("signature"))
     slices = [F.struct(F.lit(i).alias("band"), F.md5(F.array_join(F.slice("signature", i * width + 1, width).cast("array<string>"), ",")).alias("bucket")) for i in range(bands)]
     return signatures.select("id", F.explode(F.array(*slices)).alias("b")).select("b.band", "b.bucket", "id")
 
 
-def candidates(rows: DataFrame, small: int = SMALL_BUCKET) -> DataFrame:
-    """(a, b), a < b, distinct: all pairs of buckets of up to `small` texts, each member with the first one of larger buckets."""
-    w = rows.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).where("n > 1")
-    members = cut(rows.join(w, ["band", "bucket"]))
-    little = members.where(F.col("n") <= small)
-    pairs = little.alias("x").join(little.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.id") < F.col("y.id")))
-    star = members.where((F.col("n") > small) & (F.col("id") != F.col("first"))).select(F.col("first").alias("a"), F.col("id").alias("b"))
-    return pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).union(star).distinct()
+def signature_classes(signatures: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The distinct signatures, named by their smallest id, and (id, rep) of all: texts of one signature stand for each other."""
+    reps = cut(signatures.groupBy("signature").agg(F.min("id").alias("id")))
+    return reps.select("id", "signature"), signatures.join(reps.withColumnRenamed("id", "rep"), "signature").select("id", "rep")
+
+
+def candidates(rows: DataFrame, shard: int = SHARD) -> DataFrame:
+    """(a, b), a < b, distinct: all pairs that share a bucket, in buckets of any size.
+
+    Give it the buckets of `signature_classes`, so that copies are not paired off with each other. A bucket of more than
+    `shard` members is met in several shards, so it is not the work of one task.
+    """
+    n = rows.groupBy("band", "bucket").agg(F.ceil(F.count(F.lit(1)) / shard).cast("int").alias("shards"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    both = cut(rows.join(n, ["band", "bucket"]))
+    x = both.select("band", "bucket", F.pmod(F.xxhash64("id"), "shards").cast("int").alias("shard"), F.col("id").alias("a"))
+    y = both.select("band", "bucket", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), F.col("id").alias("b"))
+    return x.join(y, ["band", "bucket", "shard"]).where("a < b").select("a", "b").distinct()
 
 
 def chained(rows: DataFrame) -> DataFrame:
@@ -114,10 +143,13 @@ def similar_pairs(reps: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     seen = rows.groupBy("h").agg(F.count(F.lit(1)).alias("df"))
     ranked = rows.join(seen, "h").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("o"))
     keep = F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9)).cast("int") + 1
-    prefix = stored(ranked.select("id", "n", F.explode(F.slice("o", 1, keep)).alias("p")).where("p.df > 1").select("id", "n", F.col("p.h").alias("h")), "prefix")
-    x, y = prefix.alias("x"), prefix.alias("y")
+    prefix = ranked.select("id", "n", F.explode(F.slice("o", 1, keep)).alias("p")).where("p.df > 1")
+    prefix = stored(prefix.select("id", "n", F.col("p.h").alias("h"), F.ceil(F.col("p.df") / SHARD).cast("int").alias("shards")), "prefix")
+    x = prefix.withColumn("shard", F.pmod(F.xxhash64("id"), "shards").cast("int")).alias("x")
+    y = prefix.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).alias("y")
     near = (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * F.lit(threshold) - F.lit(1e-9))
-    pairs = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.id") < F.col("y.id")) & near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    same = (F.col("x.h") == F.col("y.h")) & (F.col("x.shard") == F.col("y.shard"))
+    pairs = x.join(y, same & (F.col("x.id") < F.col("y.id")) & near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     return verified(pairs, reps, threshold)
 
 
@@ -171,6 +203,30 @@ def lsh_clusters(df: DataFrame, key: str, text: str, threshold: float = THRESHOL
     return numbered(connected_components(edges), membership.select("id"), max_fraction)
 
 
+def char_clusters(df: DataFrame, key: str, text: str, n: int = 12, threshold: float = 0.5, bands: int = 16, width: int = 2) -> DataFrame:
+    """(id, cluster_id, cluster_size) by character runs: signatures, banding, exact verification of all candidates, components.
+
+    Equal sets are one vertex. At similarity s a pair is met with probability 1 - (1 - s ** width) ** bands.
+    """
+    reps, membership = distinct_sets(char_sets(df, key, text, n))
+    first, of = signature_classes(stored(minhash(reps, bands * width), "signatures"))
+    pairs = candidates(buckets(first, bands, width))
+    same = of.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+    met = pairs.join(of.withColumnRenamed("rep", "a"), "a").select(F.col("id").alias("a"), "b").join(of.withColumnRenamed("rep", "b"), "b").select("a", F.col("id").alias("b"))
+    both = met.union(same).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    edges = verified(both, reps, threshold).select("a", "b")
+    copies = membership.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+    return numbered(connected_components(edges.union(copies)), membership.select("id"))
+
+
+def containment_clusters(df: DataFrame, key: str, text: str, n: int = SHINGLE, threshold: float = THRESHOLD, min_shared: int = 3) -> DataFrame:
+    """(id, cluster_id, cluster_size) of texts of which one holds the other, directly or through others, by runs of tokens."""
+    reps, membership = distinct_sets(shingle_sets(df, key, text, n, tokens=True))
+    edges = contained_pairs(reps, threshold, min_shared).select("a", "b")
+    copies = membership.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+    return numbered(connected_components(edges.union(copies)), membership.select("id"))
+
+
 def numbered(roots: DataFrame, everything: DataFrame, max_fraction: float | None = None) -> DataFrame:
     """(id, cluster_id, cluster_size) of components of two or more, numbered densely by their root."""
     sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("cluster_size")).where("cluster_size > 1")

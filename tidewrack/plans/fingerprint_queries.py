@@ -24,8 +24,18 @@ def _signatures(spark, sf):
     return P.signatures(stored(_points(spark, sf), "points"))
 
 
+def _deliveries(spark, sf):
+    """(grp, clip): the lines of every record that was delivered more than once; and their signatures, ten frames a word."""
+    m = table(spark, sf, "manifest").where("dataset is not null and cut_id is not null")
+    again = m.groupBy("dataset", "cut_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    rows = stored(m.join(again, ["dataset", "cut_id"]).select(F.concat_ws("/", "dataset", "cut_id").alias("grp"), F.col("line_no").alias("clip"), "normalized_text"), "deliveries")
+    w = rows.select("clip", F.posexplode(words(F.col("normalized_text"))).alias("t", "w"))
+    cells = w.select("clip", (F.col("t") * 10).alias("t"), (F.conv(F.substring(F.md5("w"), 1, 4), 16, 10).cast("int") % 64).alias("f"), F.length("w").cast("double").alias("energy"))
+    return rows.select("grp", "clip"), stored(P.signatures(stored(P.keypoints(cells, 1), "points")), "signatures")
+
+
 def _members(spark, sf):
-    """Records of the older text clusters that name a document by the number in their id."""
+    """Documents by their recording."""
     d = table(spark, sf, "documents").where("recording_id is not null")
     return d.select(F.col("recording_id").alias("grp"), F.col("doc_id").alias("clip")).distinct()
 
@@ -65,24 +75,34 @@ def shared_hash_count(spark, sf):
     return P.group_shared_hashes(_members(spark, sf), stored(_signatures(spark, sf), "signatures"))
 
 
-def _confirmed(spark, sf):
-    s = stored(_signatures(spark, sf), "signatures")
+def _confirmed(members, s):
     frames = F.max(F.when(F.col("t_hash") >= 0, F.col("t_hash") + 1).otherwise(0)).alias("frames")
     clips = s.groupBy("clip").agg(F.max("n_hashes_total").alias("n"), frames)
-    return P.confirmed(P.group_hough(_members(spark, sf), s), clips)
+    return P.confirmed(P.group_hough(members, s), clips)
 
 
 def hough_confirmed(spark, sf):
-    return _confirmed(spark, sf)
+    return _confirmed(*_deliveries(spark, sf))
 
 
 def audio_clusters(spark, sf):
-    out = P.match_groups(_members(spark, sf), stored(_confirmed(spark, sf), "matches"))
+    members, s = _deliveries(spark, sf)
+    out = P.match_groups(members, stored(_confirmed(members, s), "matches"))
+    return out.withColumn("matched_span_secs", F.round("matched_span_secs", 4))
+
+
+def recording_clusters(spark, sf):
+    members, s = _members(spark, sf), stored(_signatures(spark, sf), "signatures")
+    out = P.match_groups(members, stored(_confirmed(members, s), "matches"))
     return out.withColumn("matched_span_secs", F.round("matched_span_secs", 4))
 
 
 def huge_groups(spark, sf):
-    return P.comparisons(_members(spark, sf), 3, 10)[1]
+    return P.large_groups(_members(spark, sf), 10)
+
+
+def subgroups(spark, sf):
+    return P.subgroups(_members(spark, sf), stored(_signatures(spark, sf), "signatures"), 3, 3)
 
 
 def threshold_grid(spark, sf):
@@ -103,14 +123,24 @@ _SIG = f"""(with k as materialized (select * from {_kp(1)}), b as (select *, min
  s as (select clip, ((pv[3] & 63)::bigint << 20) | ((f & 63)::bigint << 14) | ((nx[3] & 63)::bigint << 8) | (((t - pv[1]) & 15)::bigint << 4) | ((nx[1] - t) & 15)::bigint as hash, t as t_hash, count(*) over (partition by clip) as n from b where nx is not null and pv is not null)
  select c.clip, s.hash, coalesce(s.t_hash, -1) as t_hash, coalesce(s.n, 0)::int as n_hashes_total from (select distinct clip from k) c left join s on s.clip = c.clip)"""
 _MEM = "(select distinct recording_id as grp, doc_id as clip from documents where recording_id is not null)"
-_PAIR = f"""(with m as materialized (select *, count(*) over (partition by grp) as n, min(clip) over (partition by grp) as first, lag(clip) over (partition by grp order by clip) as prev from {_MEM})
- select x.clip as a, y.clip as b from m x join m y on x.grp = y.grp and x.clip < y.clip where x.n <= {P.SMALL_GROUP} union select first, clip from m where n > {P.SMALL_GROUP} and n <= {P.HUGE_GROUP} and clip <> first union select prev, clip from m where n > {P.SMALL_GROUP} and n <= {P.HUGE_GROUP} and prev is not null)"""
+_PAIR = f"(select distinct x.clip as a, y.clip as b from {_MEM} x join {_MEM} y on x.grp = y.grp and x.clip < y.clip)"
 _V = """(with s as materialized (select * from {sig}), v as (select p.a, p.b, x.t_hash - y.t_hash as delta, count(*) as n, max(x.t_hash) - min(x.t_hash) + 1 as span_a, max(y.t_hash) - min(y.t_hash) + 1 as span_b from {pair} p join s x on x.clip = p.a join s y on y.clip = p.b and y.hash = x.hash group by 1, 2, 3),
  w as (select *, {score} as score from v) select a, b, max(score)::bigint as score, arg_max(delta, (score, -delta)) as delta, arg_max(span_a, (score, -delta)) as span_a, arg_max(span_b, (score, -delta)) as span_b from w group by a, b)"""
 _VOTES = _V.format(sig=_SIG, pair=_PAIR, score="n")
+_DMEM = """(select concat_ws('/', dataset, cut_id) as grp, line_no as clip, normalized_text from (select *, count(*) over (partition by dataset, cut_id) as c from manifest where dataset is not null and cut_id is not null) where c > 1)"""
+_DPAIR = f"(select x.clip as a, y.clip as b from {_DMEM} x join {_DMEM} y on x.grp = y.grp and x.clip < y.clip)"
+_DC = _C.replace("i - 1 as t", "(i - 1) * 10 as t").replace(f"(select doc_id as clip, w, unnest(range(1, len(w) + 1)) as i from (select doc_id, {_W} as w from documents))", f"(select clip, w, unnest(range(1, len(w) + 1)) as i from (select clip, {_W.replace('text', 'normalized_text')} as w from {_DMEM}))")
+_DSIG = _SIG.replace(_C, _DC)
+_CONFIRMED = """(with c as materialized (select clip, max(n_hashes_total) as n, max(case when t_hash >= 0 then t_hash + 1 else 0 end) as frames from {sig} group by 1) select v.* from {votes} v join c x on x.clip = v.a join c y on y.clip = v.b
+ where least(x.n, y.n) >= 3 and v.score >= greatest(5, floor(least(x.n, y.n) * 0.1)) and (least(x.frames, y.frames) <= 0 or v.score / least(x.n, y.n) >= 0.5 or least(v.span_a, v.span_b) / least(x.frames, y.frames) >= 0.5))"""
+_DCONF = _CONFIRMED.format(sig=_DSIG, votes=_V.format(sig=_DSIG, pair=_DPAIR, score="n"))
+_MATCHED = """with recursive v as materialized (select * from {conf}), mem as materialized (select distinct clip from {mem}), e as (select a, b from v union select b, a from v), r as (select clip as a, clip as b from mem union select r.a, e.b from r join e on r.b = e.a),
+ g as (select a as clip, min(b) as "group" from r group by a), s as (select clip, max(score)::int as m, max(span * 0.08) as span from (select a as clip, score, span_a as span from v union all select b, score, span_b from v) group by clip)
+ select clip, "group", coalesce(m, 0) as max_match_score, round(coalesce(span, 0.0), 4)::double as matched_span_secs from g left join s using (clip)"""
+_SHARED = f"(with c as materialized (select clip, hash, count(*) as c from {_SIG} where hash is not null group by 1, 2) select p.a, p.b, sum(least(x.c, y.c))::bigint as shared from {_PAIR} p join c x on x.clip = p.a join c y on y.clip = p.b and y.hash = x.hash group by 1, 2)"
 
 QUERIES = {f.__name__: f for f in (
-    pack_hash, energy_gates, time_peaks, keypoints_topk, triplet_signatures, hough_votes, hough_tolerant, shared_hash_count, hough_confirmed, audio_clusters, huge_groups, threshold_grid)}
+    pack_hash, energy_gates, time_peaks, keypoints_topk, triplet_signatures, hough_votes, hough_tolerant, shared_hash_count, hough_confirmed, audio_clusters, recording_clusters, huge_groups, subgroups, threshold_grid)}
 
 SQL = {
     "pack_hash": """select event_id, hash, (hash >> 20 & 63)::int as fb, (hash >> 14 & 63)::int as fk, (hash >> 8 & 63)::int as ff, (hash >> 4 & 15)::int as dtb, (hash & 15)::int as dtf from (select event_id,
@@ -120,9 +150,15 @@ SQL = {
     "triplet_signatures": f"select * from {_SIG}",
     "hough_votes": f"select * from {_VOTES}",
     "hough_tolerant": "select * from " + _V.format(sig=_SIG, pair=_PAIR, score="sum(n) over (partition by a, b order by delta range between 1 preceding and 1 following)"),
-    "shared_hash_count": f"""with c as materialized (select clip, hash, count(*) as c from {_SIG} where hash is not null group by 1, 2) select p.a, p.b, sum(least(x.c, y.c))::bigint as shared from {_PAIR} p join c x on x.clip = p.a join c y on y.clip = p.b and y.hash = x.hash group by 1, 2""",
-    "hough_confirmed": f"""with c as materialized (select clip, max(n_hashes_total) as n, max(case when t_hash >= 0 then t_hash + 1 else 0 end) as frames from {_SIG} group by 1) select v.* from {_VOTES} v join c x on x.clip = v.a join c y on y.clip = v.b
- where least(x.n, y.n) >= 3 and v.score >= greatest(5, floor(least(x.n, y.n) * 0.1)) and (least(x.frames, y.frames) <= 0 or v.score / least(x.n, y.n) >= 0.5 or least(v.span_a, v.span_b) / least(x.frames, y.frames) >= 0.5)""",
+    "shared_hash_count": f"select * from {_SHARED}",
+    "hough_confirmed": f"select * from {_DCONF}",
+    "audio_clusters": _MATCHED.format(conf=_DCONF, mem=_DMEM),
+    "recording_clusters": _MATCHED.format(conf=_CONFIRMED.format(sig=_SIG, votes=_VOTES), mem=_MEM),
+    "subgroups": f"""with recursive m as materialized (select grp, clip, count(*) over (partition by grp) as n, min(clip) over (partition by grp) as first from {_MEM}), h as materialized (select x.grp, s.a, s.b from {_SHARED} s join m x on x.clip = s.a join m y on y.clip = s.b and y.grp = x.grp where s.shared >= 3 and x.n > 3),
+ e as (select grp, a, b from h union select grp, b, a from h), r as (select grp, clip as a, clip as b from m where n > 3 union select r.grp, r.a, e.b from r join e on e.grp = r.grp and e.a = r.b)
+ select grp, a as clip, min(b) as sub from r group by grp, a union all select grp, clip, first from m where n <= 3""",
+    "energy_gates": f"""select clip, count(*) as n from (select c.*, avg(energy) over (partition by clip) as m, max(energy) over (partition by clip) as top, avg(energy) over (partition by clip, f order by t rows between 4 preceding and 4 following) as l from {_C} c)
+ where energy > 1.5 * m and energy > 1.2 * l and energy > 0.2 * top group by clip""",
     "huge_groups": f"select grp, count(*) as n from {_MEM} group by 1 having count(*) > 10",
     "threshold_grid": """select s as min_score, r as span_ratio, tp, fp, fn, tn, round(p, 6) as precision, round(q, 6) as recall, round(2 * p * q / nullif(p + q, 0), 6) as f1 from (select *, tp / nullif(tp + fp, 0) as p, tp / nullif(tp + fn, 0) as q from
  (select s, r, count(*) filter (hit and m) as tp, count(*) filter (hit and not m) as fp, count(*) filter (not hit and m) as fn, count(*) filter (not hit and not m) as tn from

@@ -76,7 +76,11 @@ def lsh_buckets(spark, sf):
 
 
 def lsh_candidates(spark, sf):
-    return D.candidates(D.buckets(_signatures(spark, sf), BANDS, WIDTH))
+    return D.candidates(D.buckets(D.signature_classes(stored(_signatures(spark, sf), "signatures"))[0], BANDS, WIDTH))
+
+
+def signature_classes(spark, sf):
+    return D.signature_classes(stored(_signatures(spark, sf), "signatures"))[1]
 
 
 def consecutive_pairs(spark, sf):
@@ -85,14 +89,38 @@ def consecutive_pairs(spark, sf):
 
 def minhash_estimate(spark, sf):
     s = stored(_signatures(spark, sf), "signatures")
-    return D.estimated(D.candidates(D.buckets(s, BANDS, WIDTH)), s, K)
+    return D.estimated(D.candidates(D.buckets(D.signature_classes(s)[0], BANDS, WIDTH)), s, K)
 
 
 def word_jaccard_pairs(spark, sf):
-    reps, _ = D.distinct_sets(_sets(spark, sf))
+    """Of all distinct deliveries; documents hold hardly any near pair."""
+    reps, _ = D.distinct_sets(D.shingle_sets(manifest(spark, sf), "line_no", "normalized_text"))
     return D.similar_pairs(reps).withColumn("score", F.round("score", 6))
 
 
+def word_jaccard_half(spark, sf):
+    """As `word_jaccard_pairs` at the lower similarity of 0.5."""
+    reps, _ = D.distinct_sets(D.shingle_sets(manifest(spark, sf), "line_no", "normalized_text"))
+    return D.similar_pairs(reps, 0.5).withColumn("score", F.round("score", 6))
+
+
+def delivery_clusters(spark, sf):
+    return D.lsh_clusters(manifest(spark, sf), "line_no", "normalized_text")
+
+
+def char_minhash(spark, sf):
+    reps, _ = D.distinct_sets(D.char_sets(manifest(spark, sf), "line_no", "normalized_text"))
+    return D.minhash(reps, K).select("id", F.array_join(F.col("signature").cast("array<string>"), ",").alias("signature"))
+
+
+def char_clusters(spark, sf):
+    return D.char_clusters(manifest(spark, sf), "line_no", "normalized_text")
+
+
+def containment_clusters(spark, sf):
+    return D.containment_clusters(manifest(spark, sf).withColumn("t", F.lower("normalized_text")), "line_no", "t")
+
+
 def word_containment_pairs(spark, sf):
     return D.contained_pairs(_sets(spark, sf), 0.8, 3).withColumn("score", F.round("score", 6))
 
@@ -132,19 +160,42 @@ _SHINGLES = f"""(select doc_id as id, list_sort(list_distinct(case when len(w) >
 _HASH = f"(select id, (('0x' || substr(md5(s), 1, 15))::bigint) % {D.PRIME} as h from (select id, unnest(sh) as s from {_SHINGLES}))"
 _SIG = f"(select id, [{', '.join(f'min((h * {a} + {b}) % {D.PRIME})' for a, b in D.permutations(K))}] as sig from {_HASH} group by id)"
 _BUCKETS = f"(select id, b.band as band, md5(array_to_string(b.s, ',')) as bucket from (select id, unnest([{', '.join(f'''{{'band': {i}, 's': sig[{i * WIDTH + 1}:{(i + 1) * WIDTH}]}}''' for i in range(BANDS))}]) as b from {_SIG}))"
-_COUNTED = f"(select *, count(*) over (partition by band, bucket) as n, min(id) over (partition by band, bucket) as first from {_BUCKETS})"
-_PAIRS = f"""(with m as materialized (select * from {_COUNTED} where n > 1) select distinct x.id as a, y.id as b from m x join m y on x.band = y.band and x.bucket = y.bucket
- and x.id < y.id where x.n <= {D.SMALL_BUCKET} or x.id = x.first)"""
+_SAME = f"(select id, min(id) over (partition by sig) as rep from {_SIG})"
+_PAIRS = f"""(with m as materialized (select b.* from {_BUCKETS} b join {_SAME} s using (id) where s.id = s.rep) select distinct x.id as a, y.id as b from m x join m y on x.band = y.band and x.bucket = y.bucket and x.id < y.id)"""
+_TEXT = "(select line_no as doc_id, normalized_text as text from manifest)"
+_LINES = _SHINGLES.replace("from documents)", f"from {_TEXT})")
+_LINE_REPS = f"(select min(id) as id, any_value(sh) as sh from {_LINES} group by md5(array_to_string(sh, chr(10))))"
+_TOKENS = _LINES.replace(_WORDS, "regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}_]+')").replace("\\\\", "\\")
+_CHARS = """(select line_no as id, list_sort(list_distinct(case when length(normalized_text) >= 12 then list_transform(range(1, length(normalized_text) - 10), lambda i: substr(normalized_text, i, 12))
+ else [rpad(normalized_text, 12, chr(0))] end)) as sh from manifest where normalized_text <> '')"""
 _REPS = f"(select min(id) as id, any_value(sh) as sh from {_SHINGLES} group by md5(array_to_string(sh, chr(10))))"
 _JACCARD = """(with t as materialized (select id, len(sh) as n, unnest(sh) as s from {sets}) select x.id as a, y.id as b, count(*) as shared, count(*) / (any_value(x.n) + any_value(y.n) - count(*)) as score
  from t x join t y on x.s = y.s and x.id < y.id group by x.id, y.id having count(*) >= 0.8 * (any_value(x.n) + any_value(y.n) - count(*)))"""
+_GROUPED = """with recursive sets as materialized (select *, min(id) over (partition by md5(array_to_string(sh, chr(10)))) as rep from {sets}), e0 as materialized ({edges} union all select rep, id from sets where rep <> id),
+ e as (select a, b from e0 union select b, a from e0), r as (select a, a as b from e union select r.a, e.b from r join e on r.b = e.a), c as (select a as id, min(b) as root from r group by a)
+ select id, dense_rank() over (order by root) - 1 as cluster_id, count(*) over (partition by root) as cluster_size from c"""
+_SIMILAR = """select a, b from (with t as materialized (select id, len(sh) as n, unnest(sh) as s from sets where id = rep) select x.id as a, y.id as b from t x join t y on x.s = y.s and x.id < y.id group by x.id, y.id having {test})"""
+
+
+def _signed(sets, k):
+    hashes = f"(select id, (('0x' || substr(md5(s), 1, 15))::bigint) % {D.PRIME} as h from (select id, unnest(sh) as s from {sets}))"
+    return f"(select id, [{', '.join(f'min((h * {a} + {b}) % {D.PRIME})' for a, b in D.permutations(k))}] as sig from {hashes} group by id)"
+
+
+_SIGNS = "t"
+for _tag, _sign in T.TAG_SIGNS.items():
+    _SIGNS = f"replace({_SIGNS}, '{_tag}', '{_sign}')"
+_CHAR_REPS = f"(select min(id) as id, any_value(sh) as sh from {_CHARS} group by md5(array_to_string(sh, chr(10))))"
+_CHAR_MET = f"""select a, b from (with m as materialized (select id, b.band as band, b.s as s from (select id, unnest([{', '.join(f"{{'band': {i}, 's': sig[{2 * i + 1}:{2 * i + 2}]}}" for i in range(16))}]) as b from {_signed(_CHAR_REPS, 32)})),
+ p as (select distinct x.id as a, y.id as b from m x join m y on x.band = y.band and x.s = y.s and x.id < y.id)
+ select a, b from p join sets x on x.id = a join sets y on y.id = b where len(list_intersect(x.sh, y.sh)) >= 0.5 * (len(x.sh) + len(y.sh) - len(list_intersect(x.sh, y.sh))))"""
 _PRESET = ", ".join(
     f"coalesce({'l <> ' + repr('nospeech') if v is None else 'l in (' + ', '.join(map(repr, v)) + ')'}, false) as {k}" for k, v in T.LANGUAGE_PRESETS.items()
 )
 
 QUERIES = {f.__name__: f for f in (
     normalize_key, normalized_text, min_length_filter, lang_preset_filter, tagged_text, repetition_flag, rewrite_guard, word_shingles, char_shingles, minhash_signature,
-    lsh_buckets, lsh_candidates, consecutive_pairs, minhash_estimate, word_jaccard_pairs, word_containment_pairs, duplicate_classes, text_clusters, frequent_text_cap,
+    lsh_buckets, lsh_candidates, signature_classes, consecutive_pairs, minhash_estimate, word_jaccard_pairs, word_jaccard_half, delivery_clusters, char_minhash, char_clusters, containment_clusters, word_containment_pairs, duplicate_classes, text_clusters, frequent_text_cap,
     frequent_cap_report, new_against_baseline, chaining_diagnosis)}
 
 SQL = {
@@ -162,9 +213,19 @@ SQL = {
     "lsh_candidates": f"select a, b from {_PAIRS}",
     "consecutive_pairs": f"select band, a, b from (select band, lag(id) over (partition by band, bucket order by id) as a, id as b from {_BUCKETS}) where a is not null",
     "minhash_estimate": f"""select a, b, len(list_filter(list_zip(x.sig, y.sig), lambda z: z[1] = z[2])) / {K} as estimate from {_PAIRS} p join {_SIG} x on p.a = x.id join {_SIG} y on p.b = y.id""",
-    "word_jaccard_pairs": f"select a, b, shared, round(score, 6) as score from {_JACCARD.format(sets=_REPS)}",
-    "word_containment_pairs": f"""select a, b, shared, round(shared / least(na, nb), 6) as score from (select a, b, len(list_intersect(x.sh, y.sh)) as shared, len(x.sh) as na, len(y.sh) as nb
- from {_PAIRS} p join {_SHINGLES} x on p.a = x.id join {_SHINGLES} y on p.b = y.id) where shared >= 3 and shared / least(na, nb) >= 0.8""",
+    "word_jaccard_pairs": f"select a, b, shared, round(score, 6) as score from {_JACCARD.format(sets=_LINE_REPS)}",
+    "word_jaccard_half": f"select a, b, shared, round(score, 6) as score from {_JACCARD.format(sets=_LINE_REPS).replace('0.8', '0.5')}",
+    "word_containment_pairs": f"""with t as materialized (select id, len(sh) as n, unnest(sh) as s from {_SHINGLES}) select x.id as a, y.id as b, count(*) as shared, round(count(*) / least(any_value(x.n), any_value(y.n)), 6) as score
+ from t x join t y on x.s = y.s and x.id < y.id group by x.id, y.id having count(*) >= 3 and count(*) / least(any_value(x.n), any_value(y.n)) >= 0.8""",
+    "signature_classes": f"select id, rep from {_SAME}",
+    "text_clusters": _GROUPED.format(sets=_SHINGLES, edges=_SIMILAR.format(test="count(*) >= 0.8 * (any_value(x.n) + any_value(y.n) - count(*))")),
+    "delivery_clusters": _GROUPED.format(sets=_LINES, edges=_SIMILAR.format(test="count(*) >= 0.8 * (any_value(x.n) + any_value(y.n) - count(*))")),
+    "char_minhash": f"select id, array_to_string(sig, ',') as signature from {_signed(_CHAR_REPS, K)}",
+    "char_clusters": _GROUPED.format(sets=_CHARS, edges=_CHAR_MET),
+    "containment_clusters": _GROUPED.format(sets=_TOKENS, edges=_SIMILAR.format(test="count(*) >= 3 and count(*) >= 0.8 * least(any_value(x.n), any_value(y.n))")),
+    "tagged_text": f"""select line_no, case when t <> '' and not ({' or '.join(f"contains(t, '{tag}')" for tag in T.NON_SPEECH_TAGS)}) then length(lower(regexp_replace(replace({_SIGNS}, 'İ', 'i̇'), '\\s+([.,?!])', '\\1', 'g'))) end as n
+ from (select line_no, trim(regexp_replace(text, '[.]', ' <PERIOD>', 'g') || case when line_no % 7 = 0 then ' <NOISE>' else '' end, ' ') as t from manifest)""",
+    "char_shingles": f"select line_no, coalesce(len(sh), 0) as n from manifest m left join {_CHARS} c on c.id = m.line_no",
     "duplicate_classes": f"""with recursive p as materialized (select a, b from {_JACCARD.format(sets=_SHINGLES)}), e as (select a, b from p union all select b, a from p), r as (select id as a, id as b from {_SHINGLES} union select r.a, e.b from r join e on r.b = e.a),
  c as (select a as id, min(b) as class_id from r group by a) select id, class_id, count(*) over (partition by class_id) as class_size, (select count(*) from e where e.a = c.id) as links from c""",
     "frequent_text_cap": "select text, count(*) as n, count(*) - 5 as over from manifest where text is not null group by text having count(*) > 5",
