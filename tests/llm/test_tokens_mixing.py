@@ -53,31 +53,53 @@ def test_mixing(spark):
     docs = _documents(spark)
     weights = spark.createDataFrame([("big", 0.6, 2), ("small", 0.3, 3), ("absent", 0.1, 9), (None, 0.5, 1), ("nan", float("nan"), 2)], "source string, target_weight double, max_repeats int")
     assert sorted(r.source for r in mixing.short_sources(docs, weights).collect()) == ["absent", "small"]
-    mix = mixing.draw(docs, weights, block=16, shards=8)
-    assert sum(sum(s.drawn) for s in mix.sources) == -(-mix.total // 16)
-    slots = mixing.slots(spark, mix).collect()
+    mix = mixing.prepare(docs, weights, block=16, shard=20)
+    plan = mixing.drawn(spark, mix)
+    assert plan.agg({"n": "sum"}).first()[0] == -(-mix.total // 16)
+    slots = mixing.filled(spark, mix, plan).collect()
     assert len({(s.shard, s.slot) for s in slots}) == len(slots) == len({(s.source, s.use, s.block) for s in slots})
     assert all(s.use < {"big": 2, "small": 3}[s.source] for s in slots)
     report = {r.source: r for r in mixing.report(spark, mix).collect()}
     assert abs(report["big"].share_of_plan - 0.6) < 0.1 and report["small"].tokens == 3 * report["small"].own_tokens and report["absent"].tokens == 0
 
 
+def test_short_sources_to_the_token(spark, library):
+    docs = spark.createDataFrame([(1, "a b c d e f g h", "x", "", ""), (2, "a b c d e f g h i", "y", "", ""), (3, "a b c d e f g h i j k", "z", "", "")], DOCS)
+    n = {s: len(library.encode(t, add_special_tokens=False).ids) for _, t, s, _, _ in docs.collect()}
+    total = sum(n.values())
+    weights = [("x", 2 * n["x"] / total, 2), ("y", (n["y"] + 0.5) / total, 1), ("z", 0.0, 0)]
+    got = mixing.short_sources(docs, spark.createDataFrame(weights, "source string, target_weight double, max_repeats int"), block=4)
+    assert [r.source for r in got.collect()] == ["y"]
+
+
 def test_mixture_holds_whole_blocks(spark, library):
-    docs = _documents(spark)
+    more = [(2003, "the same id", "small", "", ""), (2003, "once more", "small", "", ""), (None, "no id", "small", "", ""), (None, "none here", "small", "", "")]
+    docs = _documents(spark).union(spark.createDataFrame(more, DOCS))
     weights = spark.createDataFrame([("big", 0.5, 1), ("small", 0.5, 1)], "source string, target_weight double, max_repeats int")
-    mix = mixing.draw(docs, weights, block=16)
-    parts = mixing.segments(docs.where("doc_id is not null"), mix).collect()
-    by = {}
-    for p in parts:
+    mix = mixing.prepare(docs, weights, block=16)
+    by, sums = {}, {}
+    for p in mixing.segments(mix).collect():
         by.setdefault((p.source, p.block), []).append((p.at, p.n))
+        sums[p.source] = sums.get(p.source, 0) + p.n
     for x in by.values():
         at = 0
         for start, n in sorted(x):
             assert start == at
             at += n
-    out = mixing.mixture(docs, weights).collect()
-    stream = [i for r in sorted(docs.where("source = 'small'").collect(), key=lambda r: r.doc_id) if r.text for i in library.encode(r.text, add_special_tokens=False).ids]
-    assert [r.ids for r in out if r.source == "small"] == [stream]
+    assert sums == {s.name: s.tokens for s in mix.sources}
+    out = mixing.mixture(docs, weights, block=16).collect()
+    held = {(r.source, r.block): r.ids for r in out}
+    assert len(held) == len(out)
+    tokens = {}
+    for r in docs.collect():
+        if r.text and r.source in ("big", "small"):
+            tokens.setdefault(r.source, []).append(library.encode(r.text, add_special_tokens=False).ids)
+    got = [i for b in range(max(b for s, b in held if s == "small") + 1) for i in held["small", b]]
+    assert len(got) == sum(map(len, tokens["small"])) and sorted(got) == sorted(i for t in tokens["small"] for i in t)
+    # every document stands in the stream of its source in one piece, each as often as it is in the table
+    text = " " + " ".join(map(str, got)) + " "
+    for t in tokens["small"]:
+        assert text.count(" " + " ".join(map(str, t)) + " ") >= 1
 
 
 def test_mixing_nothing(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewrack.functions.columns import usable
 from tidewrack.llm.survivors import latest_decisions
 from tidewrack.operators.joins import bounded
-from tidewrack.session import cut
+from tidewrack.session import cut, stored
 
 #: Kinds of retention_reason that mean a drop; spellings differ in case, spaces, hyphens and underscores only.
 DROPPED = ["qualitydropped", "belowqualitygatedropped", "textclustercapdropped", "longestfallbackdropped"]
@@ -49,8 +49,8 @@ def select_at(rows: DataFrame, need: DataFrame, accuracy: int = ACCURACY, at_onc
         tally = rows.join(near, "dataset").groupBy("dataset").agg(
             F.count(F.when(F.col("score") > F.col("hi"), 1)).alias("above"), F.count(F.when(F.col("score").between(F.col("lo"), F.col("hi")), 1)).alias("inside"))
         found = near.join(tally, "dataset").select("dataset", "n", "want", "lo", "hi", "above", "inside")
-        wrong = found.where((F.col("above") >= F.col("want")) | (F.col("above") + F.col("inside") < F.col("want")))
         found = cut(found)
+        wrong = found.where((F.col("above") >= F.col("want")) | (F.col("above") + F.col("inside") < F.col("want")))
         assert wrong.isEmpty(), "a bracket missed its score"
         goal = found
     inside = rows.join(bounded(goal), "dataset").where(F.col("score").between(F.col("lo"), F.col("hi")))
@@ -66,18 +66,22 @@ def cutoffs(assignments: DataFrame, targets: DataFrame) -> DataFrame:
     The cutoff is the highest score such that the records at or above it are at least keep_pct percent; ties are kept.
     A target given twice counts with its larger percentage; null targets and datasets are left out; at 0 percent the cutoff is the top score.
     """
-    rows = candidates(assignments)
+    rows = stored(candidates(assignments), "candidates")
+    need, at = _at(rows, targets)
+    size = rows.join(at, "dataset").where("score >= cutoff").groupBy("dataset").agg(F.count(F.lit(1)).alias("kept"))
+    return need.join(at, "dataset").join(size, "dataset").select("dataset", "keep_pct", F.col("n").alias("candidates"), "cutoff", "kept")
+
+
+def _at(rows: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(dataset, keep_pct, n, want) and (dataset, cutoff), both one row a dataset, for a written table of candidates."""
     pct = targets.where("dataset is not null and keep_pct is not null").groupBy("dataset").agg(F.max("keep_pct").alias("keep_pct"))
     n = rows.groupBy("dataset").agg(F.count(F.lit(1)).alias("n"))
     need = n.join(pct, "dataset").withColumn("want", F.least(F.expr("cast((n * keep_pct + 99) div 100 as bigint)"), F.col("n")))
     need = cut(need.withColumn("want", F.greatest(F.col("want"), F.lit(1))))
-    at = select_at(rows, need)
-    at = bounded(cut(at))
-    size = rows.join(at, "dataset").where("score >= cutoff").groupBy("dataset").agg(F.count(F.lit(1)).alias("kept"))
-    return need.join(at, "dataset").join(size, "dataset").select("dataset", "keep_pct", F.col("n").alias("candidates"), "cutoff", "kept")
+    return need, bounded(cut(select_at(rows, need)))
 
 
 def kept(assignments: DataFrame, targets: DataFrame) -> DataFrame:
     """(dataset, cut_id) of the records at or above their dataset's cutoff."""
-    at = bounded(cut(cutoffs(assignments, targets).select("dataset", "cutoff")))
-    return candidates(assignments).join(at, "dataset").where("score >= cutoff").select("dataset", "cut_id")
+    rows = stored(candidates(assignments), "candidates")
+    return rows.join(_at(rows, targets)[1], "dataset").where("score >= cutoff").select("dataset", "cut_id")

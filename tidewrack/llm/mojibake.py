@@ -41,8 +41,9 @@ TOKEN = re.compile(r"[0-9A-Za-z]*[^\x00-\x7f][0-9A-Za-z\x80-\U0010ffff]*")
 _STRETCH = re.compile(r"[^\x00-\x7f]+")
 #: Signs that may follow a word; a garbled letter that ends in one of them, at the end of a word, proves nothing by itself.
 _CLOSING = "…’”»›–—\xa0"
-_BITS = 20
-#: A word is longer than this only where words are not set apart by spaces; it is met by its parts.
+_BITS = 23
+#: Longer stretches, of scripts without spaces, are mostly met by their characters; as wholes they are garbled all the same,
+#: but only those forms go into the table that stand in the corpus.
 LONGEST = 40
 
 
@@ -123,17 +124,16 @@ def _counts(seen: Counter[str]) -> pa.RecordBatch:
 
 
 def parts_of(word: str) -> set[str]:
-    """Its non-ASCII stretches (up to LONGEST) and their characters."""
+    """Its non-ASCII stretches and their characters."""
     runs = _STRETCH.findall(word)
-    return {c for r in runs for c in r} | {r for r in runs if len(r) <= LONGEST}
+    return {c for r in runs for c in r} | set(runs)
 
 
 def lookups_of(word: str) -> set[str]:
     """The stretches by which a word can be met: whole ones, and all pieces of two to four characters."""
     out = set()
     for r in _STRETCH.findall(word):
-        if len(r) <= LONGEST:
-            out.add(r)
+        out.add(r)
         for n in (2, 3, 4):
             out.update(r[i : i + n] for i in range(len(r) - n + 1))
         if "�" in r:
@@ -145,13 +145,15 @@ class Bitmap:
     """A map of 2**_BITS bits of the words of a table, of one size whatever the table; it lets words pass, exact joins follow."""
 
     def __init__(self, words: DataFrame, column: str):
-        slot = F.pmod(F.crc32(F.col(column).cast("binary")), F.lit(1 << _BITS)).cast("int")
-        self.bits = bytearray(1 << _BITS)
-        for r in words.select(slot.alias("b")).distinct().toLocalIterator():
-            self.bits[r.b] = 1
+        slot = F.pmod(F.crc32(F.col(column).cast("binary")), F.lit(1 << _BITS))
+        self.bits = bytearray(1 << _BITS - 3)
+        words32 = words.select(slot.alias("s")).groupBy(F.shiftright("s", 5).cast("int").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 31 as int))")).alias("b"))
+        for r in words32.toLocalIterator():  # at most 2 ** (_BITS - 5) rows
+            self.bits[4 * r.at : 4 * r.at + 4] = r.b.to_bytes(4, "little")
 
     def may_hold(self, word: str) -> int:
-        return self.bits[zlib.crc32(word.encode()) & (1 << _BITS) - 1]
+        s = zlib.crc32(word.encode()) & (1 << _BITS) - 1
+        return self.bits[s >> 3] >> (s & 7) & 1
 
 
 def _word_table(words: DataFrame, present: Bitmap) -> DataFrame:
@@ -162,7 +164,7 @@ def _word_table(words: DataFrame, present: Bitmap) -> DataFrame:
         for batch in batches:
             g, w, df, chain = [], [], [], []
             for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if len(word) > LONGEST or "�" in word:
+                if "�" in word:
                     continue
                 met = {word}
                 for k, c in enumerate(every):
@@ -183,10 +185,19 @@ def _word_table(words: DataFrame, present: Bitmap) -> DataFrame:
 
 
 def _part_table(words: DataFrame) -> DataFrame:
-    """(p, chain): the garbled forms of the parts of words, over UTF-8, and of single letters of two bytes; and U+FFFD."""
+    """(p, chain): the garbled forms of the parts of words, over UTF-8, and of single letters of two bytes; and U+FFFD.
+
+    Forms longer than LONGEST stand in it only where the corpus has them."""
     every = list(enumerate(chains()))
     lost = next(k for k, c in every if c[-1] == "utf-8")
 
+    def long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = list({r for word in batch.column(0).to_pylist() if len(word) > LONGEST for r in _STRETCH.findall(word) if len(r) > LONGEST})
+            yield pa.RecordBatch.from_arrays([pa.array(seen, pa.string())], names=["part"])
+
+    present = Bitmap(words.select("w").mapInArrow(long, "part string"), "part")
+
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen = list({p for word in batch.column(0).to_pylist() for p in parts_of(word)})
@@ -204,7 +215,7 @@ def _part_table(words: DataFrame) -> DataFrame:
                         continue
                     g = garble(part, c)
                     if g is not None and len(g) > len(part):
-                        out.update((form, k) for form in ({g, g.lower(), g.upper()} if over_utf8(c) else {g}) if len(form) > 1 and not form.isascii())
+                        out.update((form, k) for form in ({g, g.lower(), g.upper()} if over_utf8(c) else {g}) if len(form) > 1 and not form.isascii() and (len(form) <= LONGEST or present.may_hold(form)))
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.string()), pa.array([b for _, b in out], pa.int32())], names=["p", "chain"])
 
     parts = words.mapInArrow(split, "part string").distinct()
@@ -293,7 +304,8 @@ def garbled_words(documents: DataFrame) -> DataFrame:
     words = stored(_tally(documents), "words")
     present = Bitmap(words, "w")
     known = bounded(words)
-    forms = _word_table(words.repartition("w"), present).join(known.select(F.col("w").alias("g"), "df"), "g")
+    tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    forms = _word_table(words.repartition(tasks, "w"), present).join(known.select(F.col("w").alias("g"), "df"), "g")
     whole = forms.groupBy("g", "df", "chain").agg(F.max(F.struct("wdf", "w")).alias("b"), F.sum("wdf").alias("all"))
     whole = whole.select(F.col("g").alias("word"), "df", F.struct("chain", F.col("b.w").alias("origin"), F.col("b.wdf").alias("n"), F.col("all").alias("of_all")).alias("whole"), F.lit(None).cast("struct<part:string,chain:int>").alias("part"))
 
@@ -308,7 +320,7 @@ def garbled_words(documents: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(w, pa.string()), pa.array(df, pa.int64()), pa.array(p, pa.string())], names=["word", "df", "p"])
 
     table = bounded(cut(_part_table(words)))
-    met = words.select("w", "df").repartition("w").mapInArrow(pieces, "word string, df bigint, p string").join(table, "p")
+    met = words.select("w", "df").repartition(tasks, "w").mapInArrow(pieces, "word string, df bigint, p string").join(table, "p")
     part = met.select("word", "df", F.lit(None).cast(whole.schema["whole"].dataType).alias("whole"), F.struct(F.col("p").alias("part"), "chain").alias("part"))
     both = whole.unionByName(part).groupBy("word", "df").agg(F.collect_list("whole").alias("whole"), F.collect_list("part").alias("part"))
 

@@ -92,7 +92,7 @@ def p9_found(spark, sf):
 
 
 def p9_shares(spark, sf):
-    return mixing.report(spark, mixing.draw(_texts(spark, sf, "documents", "doc_id", "source", "text"), table(spark, sf, "mix_weights")))
+    return mixing.report(spark, mixing.prepare(_texts(spark, sf, "documents", "doc_id", "source", "text"), table(spark, sf, "mix_weights")))
 
 
 def p9_mixture(spark, sf):

@@ -52,11 +52,9 @@ def fused_ranks(scores: DataFrame, scales: dict[str, tuple[float, float]] = SCAL
     metrics = F.array(*[F.struct(F.lit(i).alias("metric"), F.col(c).cast("double").alias("value"), F.lit(float(weights[c])).alias("weight")) for i, c in enumerate(scales)])
     long = items.withColumn("_m", F.explode(metrics)).select(*ITEM, "_m.*")
     counts = long.where(F.col("value").isNotNull()).groupBy("score_batch", "metric", "value").agg(F.count(F.lit(1)).alias("n"))
-    upto = running_total(counts, ["score_batch", "metric"], [F.col("value").desc()], "n", "upto")
-    present = counts.groupBy("score_batch", "metric").agg(F.sum("n").alias("present"))
+    upto = running_total(counts, ["score_batch", "metric"], [F.col("value").desc()], "n", "upto", "present")
+    ranks = upto.select("score_batch", "metric", "value", ((F.col("upto") - F.col("n") / 2) / F.col("present")).alias("rank"))
     same_group = F.col("a.score_batch").eqNullSafe(F.col("b.score_batch")) & (F.col("a.metric") == F.col("b.metric"))
-    ranks = upto.alias("a").join(present.alias("b"), same_group).select(
-        "a.score_batch", "a.metric", "a.value", ((F.col("upto") - F.col("n") / 2) / F.col("present")).alias("rank"))
     same_value = same_group & (F.col("a.value") == F.col("b.value"))
     ranked = long.alias("a").join(ranks.alias("b"), same_value, "left").select(*[F.col(f"a.{c}") for c in ITEM], F.col("b.rank").alias("rank"), F.col("a.weight"))
     pairs = F.collect_list(F.when(F.col("rank").isNotNull(), F.struct("rank", "weight")))

@@ -23,10 +23,14 @@ def latest_decisions(assignments: DataFrame, fields: list[str] = FIELDS) -> Data
 
 
 def members(clusters: DataFrame) -> DataFrame:
-    """Distinct records of each audio group that has at least two of them. Rows without a group are left out."""
-    rows = clusters.where(F.col("audio_cluster_id").isNotNull()).select("audio_cluster_id", *RECORD).distinct()
-    big = rows.groupBy("audio_cluster_id").agg(F.count(F.lit(1)).alias("members")).where("members >= 2")
-    return rows.join(big, "audio_cluster_id")
+    """Distinct records of every audio group. Rows without a group are left out."""
+    return clusters.where(F.col("audio_cluster_id").isNotNull()).select("audio_cluster_id", *RECORD).distinct()
+
+
+def _of_two(groups: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of `groups`, one a group, whose groups have at least two members, with their number. No row of a group but
+    these moves by its group, so one group with most records is no load."""
+    return groups.join(rows.groupBy("audio_cluster_id").agg(F.count(F.lit(1)).alias("members")).where("members >= 2"), "audio_cluster_id")
 
 
 def completeness():
@@ -40,10 +44,11 @@ def survivors(clusters: DataFrame, assignments: DataFrame) -> DataFrame:
     duration_secs (null last), decided_at, then (dataset, cut_id). A record that was never decided has nulls throughout.
     Only each task's best row of a group is shuffled, so a group of any size is no load.
     """
-    rows = members(clusters).join(latest_decisions(assignments), RECORD, "left")
+    some = members(clusters)
+    rows = some.join(latest_decisions(assignments), RECORD, "left")
     rows = rows.withColumn("_q", usable(F.col("quality_score"))).withColumn("_n", completeness())
     order = [F.col("_q").desc_nulls_last(), F.col("_n").desc(), F.col("duration_secs").desc_nulls_last(), F.col("decided_at").desc_nulls_last(), F.col("dataset"), F.col("cut_id")]
-    return top_per_group(rows, ["audio_cluster_id"], order, 1).drop("_q", "_n")
+    return _of_two(top_per_group(rows, ["audio_cluster_id"], order, 1).drop("_q", "_n"), some)
 
 
 def merged(clusters: DataFrame, assignments: DataFrame) -> DataFrame:
