@@ -82,10 +82,29 @@ def test_lsh_clusters_and_guard(spark):
         D.lsh_clusters(_texts(spark), "doc_id", "text", max_fraction=0.1)
 
 
-def test_large_buckets_become_stars(spark):
-    rows = spark.createDataFrame([(0, "b", i) for i in range(30)] + [(1, "c", i) for i in range(3)], "band int, bucket string, id int")
-    pairs = {(r.a, r.b) for r in D.candidates(rows, small=5).collect()}
-    assert pairs == {(0, i) for i in range(1, 30)} | {(0, 1), (0, 2), (1, 2)}
+def test_buckets_of_any_size_give_all_pairs(spark):
+    rows = spark.createDataFrame([(0, "x", i) for i in range(40)] + [(1, "x", i) for i in (3, 90)] + [(0, "alone", 77)], "band int, bucket string, id int")
+    want = {(a, b) for a in range(40) for b in range(a + 1, 40)} | {(3, 90)}
+    for shard in (500, 7):
+        pairs = [(r.a, r.b) for r in D.candidates(rows, shard).collect()]
+        assert len(pairs) == len(want) and set(pairs) == want
+    signatures = spark.createDataFrame([(i, [i % 3, 7]) for i in range(9)], "id int, signature array<long>")
+    reps, of = D.signature_classes(signatures)
+    assert sorted(r.id for r in reps.collect()) == [0, 1, 2] and {r.id: r.rep for r in of.collect()} == {i: i % 3 for i in range(9)}
+    with pytest.raises(Exception, match="longer than the signature"):
+        D.buckets(signatures, 2, 2).collect()
+
+
+def test_char_clusters_find_the_similar(spark):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(80)) for _ in range(30)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t[:70] + "xyz") for i, t in enumerate(texts[:20])] + [(200, texts[0]), (201, None), (202, ""), (203, "ab"), (204, "ab")]
+    got = {r.id: r.cluster_id for r in D.char_clusters(spark.createDataFrame(rows, "k int, t string"), "k", "t").collect()}
+    found = sum(got.get(i, -1) == got.get(100 + i, -2) for i in range(20))
+    assert found >= 18 and got[0] == got[200] and got[203] == got[204] and not {201, 202, *range(20, 30)} & set(got)
+    inside = [(0, "one two three four five six seven"), (1, "zero One, two three four five six seven eight nine ten"), (2, "something else entirely is said right here")]
+    held = D.containment_clusters(spark.createDataFrame(inside, "k int, t string").withColumn("t", F.lower("t")), "k", "t")
+    assert {r.id for r in held.collect()} == {0, 1}
 
 
 def test_chain_of_a_large_bucket(spark):

@@ -55,11 +55,6 @@ def normalize_text(text: Column, language: Column | None = None, strip_punctuati
     return run(text, language if language is not None else F.lit(None).cast("string"))
 
 
-def ascii_key(text: Column) -> Column:
-    """A key in the JVM for text in ASCII: lower case, punctuation runs of one sign collapsed, single spaces."""
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(text), r"([!-/:-@\[-`{-~])\1+", "$1"), r"\s+", " "))
-
-
 def sample_key(c: Column) -> Column:
     """Key used across files: trimmed, lower case."""
     return F.lower(F.trim(c))
@@ -97,11 +92,6 @@ def clean_tagged(text: Column) -> Column:
     return F.when(speech, F.lower(F.regexp_replace(out, r"\s+([.,?!])", "$1")))
 
 
-def first_text(*columns: Column) -> Column:
-    """The first text that is not blank."""
-    return F.coalesce(*[F.when(F.trim(c) != "", c) for c in columns])
-
-
 def let(value: Column, f) -> Column:
     """f(value), with the value computed once a row; written out in a lambda it would be computed once an element."""
     return F.get(F.transform(F.array(value), f), F.lit(0))
@@ -145,12 +135,16 @@ def excess_repetition(tokens: Column, n: int = 15, times: int = 5) -> Column:
     return F.when(F.size(tokens) >= n + times - 1, hits).otherwise(F.lit(False))
 
 
-def valid_rewrite(original: Column, rewritten: Column, low: float = 0.5, high: float = 2.0, leaks: tuple[str, ...] = ("Input:", "Output:")) -> Column:
-    """The rewritten text if it is not blank, its length is within bounds of the original's and it repeats no prompt; else the original."""
+def valid_rewrite(original: Column, rewritten: Column, low: float = 0.5, high: float = 2.0, leaks: tuple[str, ...] = ("Input:", "Output:"), examples: tuple[str, ...] = ()) -> Column:
+    """The rewritten text if it is not blank, its length is within bounds of the original's and it repeats no prompt; else the original.
+
+    A phrase of the prompt's examples is no leak where the original has it too, in whatever case."""
     ratio = F.length(rewritten) / F.greatest(F.length(original), F.lit(1))
     ok = (F.trim(F.coalesce(rewritten, F.lit(""))) != "") & ratio.between(low, high)
     for leak in leaks:
         ok = ok & ~rewritten.contains(leak)
+    for phrase in examples:
+        ok = ok & (~F.lower(rewritten).contains(phrase.lower()) | F.lower(original).contains(phrase.lower()))
     return F.when(ok, rewritten).otherwise(original)
 
 

@@ -132,5 +132,5 @@ def allocation(total: int, shares: dict[str, float], rest: str) -> dict[str, int
 
 def planned(rows: DataFrame, key: str, families: list[str], seed: int) -> DataFrame:
     """(key, family, severity): a seeded plan per key, the same in every run and partitioning."""
-    h = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(len(families) * 3))
+    h = F.conv(F.substring(F.md5(F.concat_ws("-", F.lit(str(seed)), F.col(key).cast("string"))), 1, 8), 16, 10).cast("bigint") % (len(families) * 3)
     return rows.select(key, F.get(F.array(*map(F.lit, families)), (h % len(families)).cast("int")).alias("family"), (F.floor(h / len(families)) + 1).cast("int").alias("severity"))

@@ -5,16 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Rows up to which a side may be broadcast.
-BROADCAST_ROWS = 200_000
+#: Rows and bytes up to which a side may be broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 16 << 20
 
 
-def bounded(small: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """`small` with a broadcast hint if it has at most `limit` rows, which is counted; else as it is, for a shuffle join.
+def bounded(small: DataFrame, limit: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> DataFrame:
+    """`small` with a broadcast hint if it has at most `limit` rows and about `most` bytes, which are counted; else as it is, for
+    a shuffle join. Strings and arrays count by their length as JSON, everything else as eight bytes.
 
     Give it a table that is cheap to read twice (a checkpoint or a written table).
     """
-    return F.broadcast(small) if small.limit(limit + 1).count() <= limit else small
+    wide = [c for c, kind in small.dtypes if kind == "string"]
+    nested = [c for c, kind in small.dtypes if kind.startswith(("array", "map", "struct"))]
+    size = F.lit(8 * len(small.columns))
+    for c in wide:
+        size = size + F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0))
+    if nested:
+        size = size + F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in nested])))
+    rows, total = small.limit(limit + 1).agg(F.count(F.lit(1)), F.sum(size)).first()
+    return F.broadcast(small) if rows <= limit and (total or 0) <= most else small
 
 
 def full_outer_slots(slots: dict[str, DataFrame], key: list[str], meta: list[str]) -> DataFrame:

@@ -26,15 +26,18 @@ def keep_best(rows: DataFrame, preference: list[str]) -> DataFrame:
     sure = F.col("score").isNotNull() & (F.col("floor").isNull() | (F.col("score") >= F.col("floor")))
     name = F.struct("dataset", "cut_id")
     rows = rows.withColumn("_rank", rank).withColumn("_sure", sure)
+    grouped = rows.where("audio_cluster_id >= 0")
     best = F.min(F.when(F.col("_sure"), F.struct((-F.col("score")).alias("s"), F.col("_rank").alias("p"), (-F.col("duration_secs")).alias("d"), name.alias("k"))))
     longest = F.min(F.struct((-F.col("duration_secs")).alias("d"), F.col("_rank").alias("p"), name.alias("k")))
-    winners = rows.where("audio_cluster_id >= 0").groupBy("audio_cluster_id").agg(best.alias("b"), longest.alias("l"), F.count(F.lit(1)).alias("cluster_size"))
+    winners = grouped.groupBy("audio_cluster_id").agg(best.alias("b"), longest.alias("l"), F.count(F.lit(1)).alias("cluster_size"))
     winners = winners.select("audio_cluster_id", "cluster_size", F.coalesce("b.k", "l.k").alias("_k"), F.when(F.col("b").isNotNull(), "quality").otherwise("longest_fallback").alias("_why"))
-    out = rows.join(winners, "audio_cluster_id", "left")
-    alone = F.col("_k").isNull()
-    kept = alone | (F.col("_k") == name)
-    reason = F.when(alone, "singleton").when(kept, F.col("_why")).otherwise(F.concat("_why", F.lit("_dropped")))
-    return out.select(*[c for c in rows.columns if c not in ("_rank", "_sure")], F.coalesce("cluster_size", F.lit(1)).cast("bigint").alias("cluster_size"), kept.alias("is_kept"), reason.alias("retention_reason"))
+    own = [c for c in rows.columns if c not in ("_rank", "_sure")]
+    kept = F.col("_k") == name
+    reason = F.when(kept, F.col("_why")).otherwise(F.concat("_why", F.lit("_dropped")))
+    out = grouped.join(winners, "audio_cluster_id").select(*own, F.col("cluster_size").cast("bigint").alias("cluster_size"), kept.alias("is_kept"), reason.alias("retention_reason"))
+    # rows in no group, most of them, take no part in the join, where they would all have one key
+    alone = rows.where("audio_cluster_id < 0 or audio_cluster_id is null")
+    return out.union(alone.select(*own, F.lit(1).cast("bigint").alias("cluster_size"), F.lit(True).alias("is_kept"), F.lit("singleton").alias("retention_reason")))
 
 
 def capped(rows: DataFrame, cap: int, preference: list[str]) -> DataFrame:

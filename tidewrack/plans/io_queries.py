@@ -19,7 +19,7 @@ def _corpus(spark, sf):
     rows = d.select(F.coalesce("source", F.lit("none")).alias("dataset"), F.format_string("doc%09d", "doc_id").alias("cut_id"), "text", F.col("lang").alias("language"), (F.coalesce("n_chars", F.lit(0)) / 15.0).alias("duration_secs"),
                     F.coalesce("text", F.lit("")).cast("binary").alias("payload"))
     folder = mounted(scratch_path(spark, "shards"))
-    n = shards.write_shards(rows.repartition(4, "cut_id"), folder, 500).count()
+    n = shards.write_shards(rows.repartition("cut_id"), folder, 500).count()
     shards.write_index(folder, n)
     return folder
 
@@ -89,7 +89,49 @@ def arrow_stream(spark, sf):
 
 def stream_dedup(spark, sf):
     s = flows.stream_of(spark, f"{sf}/manifest.parquet").select("dataset", "cut_id")
-    return flows.drained(flows.once_per_key(s, ["dataset", "cut_id"]), "dedup")
+    return flows.appended_once(s, ["dataset", "cut_id"], "dedup")
+
+
+def stream_dedup_watermark(spark, sf):
+    """As `stream_dedup`, with keys forgotten a month after they came."""
+    s = flows.stream_of(spark, f"{sf}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp")).select("event_id", "ts")
+    return flows.drained(flows.once_per_key(s, ["event_id"], "ts", "31 days"), "dedup").select("event_id")
+
+
+def guarded_dead_letters(spark, sf):
+    """A guarded call that fails on every batch with a purchase: its rows come out with the reason."""
+    def work(pdf):
+        if (pdf.event_type == "purchase").any():
+            raise RuntimeError("no purchases")
+        return pdf.assign(twice=pdf.value * 2)[["event_id", "twice"]]
+
+    def dead(pdf, error):
+        return pdf.assign(twice=None, error=str(error))[["event_id", "twice", "error"]]
+
+    one = table(spark, sf, "events").select("event_id", "value", "event_type")
+    by_type = flows.guarded(work, attempts=1, in_a_row=1 << 30, share=1.0, failed=dead)
+    return one.groupBy("event_type").applyInPandas(lambda pdf: next(by_type(iter([pdf]))), "event_id bigint, twice double, error string")
+
+
+def table_ingest(spark, sf):
+    """A foreign table as cuts: ids of two columns, no empty payloads, languages filled in."""
+    d = table(spark, sf, "documents").withColumn("secs", F.col("n_chars") / 15.0)
+    out = records.cuts_from_table(d, "documents", "doc_id", ["source", "doc_id"], "secs", "n_chars", "lang", "und")
+    return out.select("cut_id", F.col("lang").alias("language"))
+
+
+def parquet_sink(spark, sf):
+    """A written table appears as a whole and is read back."""
+    out = scratch_path(spark, "sink")
+    records.write_parquet(table(spark, sf, "documents").select("doc_id", "source"), out)
+    return spark.read.parquet(out)
+
+
+def compressed_lines(spark, sf):
+    """JSON lines with zstandard, read back by the metadata reader."""
+    out = mounted(scratch_path(spark, "zst"))
+    records.write_json_lines(table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), "text"), out, compression="zstd")
+    return records.metadata(spark, sorted(map(str, Path(out).glob("*.jsonl.zst")))).select("id", F.md5(F.coalesce("text", F.lit(""))).alias("content"))
 
 
 def stream_windows(spark, sf):
@@ -126,7 +168,7 @@ def run_ledger_status(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    shard_round_trip, shard_offsets, shards_merged, remaining_work, metadata_files, json_lines_tolerant, arrow_stream, stream_dedup, stream_windows, stream_sessions, stream_runs, guarded_map, run_ledger_status)}
+    shard_round_trip, shard_offsets, shards_merged, remaining_work, metadata_files, json_lines_tolerant, arrow_stream, table_ingest, parquet_sink, compressed_lines, stream_dedup, stream_dedup_watermark, guarded_dead_letters, stream_windows, stream_sessions, stream_runs, guarded_map, run_ledger_status)}
 
 _ID = "'doc' || lpad(doc_id::varchar, 9, '0')"
 SQL = {
@@ -137,6 +179,11 @@ SQL = {
     "metadata_files": "select doc_id::varchar as id, md5(coalesce(text, '')) as content, source from documents",
     "json_lines_tolerant": "select event_id, value from events where event_id % 10 <> 0",
     "arrow_stream": "select vec_id, label from embeddings",
+    "table_ingest": "select concat_ws('_', source, doc_id::varchar) as cut_id, coalesce(lang, 'und') as language from documents where n_chars > 0",
+    "parquet_sink": "select doc_id, source from documents",
+    "compressed_lines": "select doc_id::varchar as id, md5(coalesce(text, '')) as content from documents",
+    "stream_dedup_watermark": "select distinct event_id from events",
+    "guarded_dead_letters": "select event_id, case when event_type <> 'purchase' then value * 2 end as twice, case when event_type = 'purchase' then 'no purchases' end as error from events",
     "stream_dedup": "select distinct dataset, cut_id from manifest",
     "stream_windows": "select epoch(time_bucket(interval '6 hours', ts, timestamp '1970-01-01'))::bigint as start, event_type, count(*) as n, round(sum(value), 4) as total from events group by 1, 2",
     "stream_sessions": """select user_id, min(t) as start, max(t) + 43200000000 as "end", count(*) as n from (select *, sum(c) over (partition by user_id order by t rows unbounded preceding) as s from (select user_id, t, case when t - lag(t) over (partition by user_id order by t) > 43200000000 then 1 else 0 end as c from (select user_id, epoch_us(ts) as t from events))) group by user_id, s""",

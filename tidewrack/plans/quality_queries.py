@@ -108,7 +108,9 @@ def decisions_applied(spark, sf):
     a = table(spark, sf, "assignments").groupBy("dataset", "cut_id").agg(F.max(F.struct("decided_at", "run_no", "is_kept", "keep_reason")).alias("b"))
     text = F.coalesce(F.when(F.trim("text") != "", F.col("text")), F.col("normalized_text"))
     custom = F.when(F.col("b").isNotNull(), F.struct(F.struct("b.is_kept", "b.keep_reason").alias("dedup")))
-    return m.join(a, ["dataset", "cut_id"], "left").select("line_no", F.to_json(F.struct(F.col("cut_id").alias("id"), text.alias("text"), custom.alias("custom"))).alias("json"))
+    lines = m.join(a, ["dataset", "cut_id"], "left").select("line_no", F.to_json(F.struct(F.col("cut_id").alias("id"), text.alias("text"), custom.alias("custom"))).alias("json"))
+    get = lambda p: F.get_json_object("json", f"$.{p}")
+    return lines.select("line_no", get("id").alias("id"), F.md5(F.coalesce(get("text"), F.lit(""))).alias("content"), get("custom.dedup.is_kept").alias("is_kept"), get("custom.dedup.keep_reason").alias("keep_reason"))
 
 
 def _ax(a):
@@ -135,6 +137,8 @@ QUERIES = {f.__name__: f for f in (
     quality_flatten, quality_latest_wins, quality_pivot, axis_stats, z_scores, rank_gate_raw_scores, gate_threshold, gate_flags, floor_percentiles, retention_assignments, text_cluster_cap, decisions_applied)}
 
 SQL = {
+    "decisions_applied": """select line_no, m.cut_id as id, md5(coalesce(case when trim(text, ' ') <> '' then text else normalized_text end, '')) as content, a.is_kept::varchar as is_kept, a.keep_reason from manifest m left join
+ (select dataset, cut_id, is_kept, keep_reason from assignments qualify row_number() over (partition by dataset, cut_id order by decided_at desc, run_no desc) = 1) a using (dataset, cut_id)""",
     "quality_flatten": "select dataset, cut_id, scored_at, " + ", ".join(f"case when not isnan({c}) then {c}::double end as {a}" for a, (c, _, _) in Q.AXES.items()) + " from pending_batch",
     "quality_latest_wins": f"select * from {_SC}",
     "quality_pivot": f"select * from {_SC} where coalesce({', '.join(AX)}) is not null",

@@ -293,7 +293,20 @@ QUERIES = {f.__name__: f for f in (
     per_language_overview, size_distribution, duration_stats, duration_histogram, quality_edges, crosstab_lang_source, min_cell_heatmap, clip_buckets, dataset_sizes, benchmark_plan, vector_samples,
     lineitem_summary, revenue_by_nation, semi_anti, set_ops, topk_per_group, top_texts, rolling_mean, cube_orders, seeded_sample, json_props)}
 
+_V = "list_transform(embedding, lambda x: x::double)"
+_P = "list_max(list_transform(v, lambda x: abs(x)))"
 SQL = {
+    "benchmark_plan": """select doc_id, (['noise', 'reverb', 'clipping', 'codec'])[h % 4 + 1] as family, (floor(h / 4) + 1)::int as severity from (select doc_id, ('0x' || substr(md5('7-' || doc_id::varchar), 1, 8))::bigint % 12 as h from documents)""",
+    "pr_thresholds": f"""with c as (select greatest(least(floor((score + 3.0) / (6.0 / 199) + 1e-9), 199), -1) as step, count(*) as n, count(*) filter (label) as p from {_LAB} where label is not null and score is not null group by 1),
+ x as (select s as step, coalesce(n, 0) as n, coalesce(p, 0) as p from range(200) r(s) left join c on c.step = s), y as (select step, sum(n) over w as kept, sum(p) over w as tp from x window w as (order by step desc))
+ select step, round(-3.0 + step * (6.0 / 199), 6) as threshold, kept::bigint as kept, round(tp / nullif(kept, 0), 6) as precision, round(tp / nullif((select sum(p) from c), 0), 6) as recall from y""",
+    "recall_at_specificity": f"""with c as (select score, count(*) filter (not label) as p, count(*) filter (label) as q from {_LAB} where label is not null and score is not null group by 1), y as (select sum(p) over w as tp, sum(q) over w as fp, sum(p) over () as pp, sum(q) over () as qq from c window w as (order by score))
+ select max(round(tp / nullif(pp, 0), 6)) as recall from y where round(fp / nullif(qq, 0), 6) <= 0.1 + 1e-9""",
+    "quality_edges": f"select array_to_string(list_transform(list_sort(list_distinct(list_transform(quantile_cont(score, [0, 0.125, 0.25, 0.375, 0.5, 0.625, 0.75, 0.875, 1]), lambda x: round(x, 6)))), lambda x: printf('%.4f', x)), ';') as edges from {_LAB} where score is not null",
+    "vector_samples": f"""select vec_id, round(20 * log10(sqrt(list_sum(list_transform(v, lambda x: x * x)) / len(v)) + 1e-10), 5) as rms_db, round(case when {_P} > 0 then {_P} * (pow(10, -3.0 / 20) / greatest({_P}, 1e-10)) else {_P} end, 6) as peak,
+ 20 * log10(sqrt(list_sum(list_transform(v, lambda x: x * x)) / len(v)) + 1e-10) >= -50 as loud, len(list_filter(v, lambda x: x <> 0)) > 0 as sound, greatest(floor(len(v) * 0.5), 1)::int as cropped,
+ round(list_max(list_transform(v, lambda x: greatest(least(x, 0.5 * {_P}), -0.5 * {_P}))), 6) as clipped, round(list_sum(list_transform(v, lambda x: greatest(least(x * pow(10, 6.0 / 20), 1.0), -1.0))), 4) as gained,
+ round(list_sum(v) + list_sum(v) * sqrt((list_sum(list_transform(v, lambda x: x * x)) / len(v)) / greatest(list_sum(list_transform(v, lambda x: x * x)) / len(v) * 10, 1e-10)), 4) as mixed from (select vec_id, {_V} as v from embeddings)""",
     "exclude_removed": f"select line_no, dataset, cut_id from manifest m where not exists (select 1 from {_LAST} a where a.dataset = m.dataset and a.cut_id = m.cut_id and not a.is_kept)",
     "candidates_only": "select line_no, tar_path, tar_offset, tar_size from manifest m where tar_offset is not null and exists (select 1 from clusters c where c.dataset = m.dataset and c.cut_id = m.cut_id)",
     "key_uniqueness": "select dataset, cut_id, count(*) as n from manifest group by 1, 2 having count(*) > 1",

@@ -148,13 +148,36 @@ def language_consensus(spark, sf):
 
 _SP = "(select event_id, user_id, s as start, s + floor(abs(coalesce(value, 0)))::bigint % 900 + 1 as \"end\" from (select *, floor(epoch(ts))::bigint as s from events))"
 _KEY = r"trim(regexp_replace(regexp_replace(lower(coalesce({}, '')), '[^a-z0-9''\s]', ' ', 'g'), '\s+', ' ', 'g'))"
+_WKEY = r"trim(regexp_replace(regexp_replace(lower(coalesce({}, '')), '[^a-z0-9''\s]', ' ', 'g'), '\s+', ' ', 'g'), ' ')"
+#: Words as single characters, so that the edit distance over characters is one over words.
+WORD_EDITS = f"""(select *, levenshtein(array_to_string(list_transform(wr, lambda w: chr(list_position(u, w)::int)), ''), array_to_string(list_transform(wh, lambda w: chr(list_position(u, w)::int)), '')) as word_edits, len(wr) as words from
+ (select *, list_distinct(list_concat(wr, wh)) as u from (select *, case when r = '' then [] else string_split(r, ' ') end as wr, case when h = '' then [] else string_split(h, ' ') end as wh from
+ (select *, {_WKEY.format('text')} as r, {_WKEY.format('normalized_text')} as h from manifest))))"""
 _ERR = f"(select *, length(r) as chars, levenshtein(r, h) as char_edits from (select line_no, dataset, {_KEY.format('text')} as r, {_KEY.format('normalized_text')} as h from manifest))"
 
 QUERIES = {f.__name__: f for f in (
     vad_merge, runs_and_clip_num, speech_overlap, vad_pack, vad_outcome, chunk_sweep, frame_spans, lang_breakdown, interleave_keys, session_languages, cer, wer, wer_summary, wer_gate,
     change_kinds, itn_impact, confidences, rover_majority, rover_confidence, enhanced_transcript, rover_majority_aligned, language_consensus)}
 
+def _pack(gap, shortest, end='"end"::double'):
+    return f"""with recursive s as materialized (select user_id, floor(start / 86400)::bigint as day, start::double as start, {end} as "end", row_number() over (partition by user_id, floor(start / 86400) order by start, "end", event_id) as i from {_SP}),
+ f as (select user_id, day, i, start as c0, "end" as c1, 1 as chunk from s where i = 1 union all
+ select s.user_id, s.day, s.i, case when s.start - f.c1 <= {gap} and s."end" - f.c0 <= {LONGEST} then f.c0 else s.start end, s."end", case when s.start - f.c1 <= {gap} and s."end" - f.c0 <= {LONGEST} then f.chunk else f.chunk + 1 end
+ from f join s on s.user_id = f.user_id and s.day = f.day and s.i = f.i + 1)
+ select user_id, day, min(c0) as start, arg_max(c1, i) as "end" from f group by user_id, day, chunk having arg_max(c1, i) - min(c0) >= {shortest}"""
+
+
 SQL = {
+    "vad_outcome": f"""select d.user_id, d.day, coalesce(c.n, 0)::int as chunks, case when coalesce(c.n, 0) > 0 then 'chunked' else 'chunks_below_min_duration' end as outcome from (select distinct user_id, floor(start / 86400)::bigint as day from {_SP}) d
+ left join (select user_id, day, count(*) as n from ({_pack(GAP, SHORTEST, 'least("end"::double, (floor(start / 86400) + 1) * 86400.0)')}) group by 1, 2) c on c.user_id = d.user_id and c.day = d.day""",
+    "chunk_sweep": " union all ".join(f"select {m} as min_chunk, {g} as gap, count(*) as chunks, round(sum(\"end\" - start) / 3600, 6) as hours from ({_pack(g, m)})" for m in (60.0, 300.0) for g in (0.0, 600.0, 3600.0)),
+    "frame_spans": """with fr as (select user_id, d * 24 + h as frame from (select user_id, dayofyear(ts) as d, hour(ts) as h from events) group by 1, 2), s as (select user_id, frame, sum(n) over (partition by user_id order by frame rows unbounded preceding) as run from
+ (select *, case when frame - lag(frame) over (partition by user_id order by frame) - 1 < 3 then 0 else 1 end as n from fr)) select user_id, min(frame) as first, max(frame) as last from s group by user_id, run having max(frame) - min(frame) + 1 >= 2""",
+    "wer": f"select line_no, words, word_edits, round(word_edits / nullif(words, 0), 6) as wer from {WORD_EDITS}",
+    "wer_summary": f"select dataset, count(*) as cuts, round(sum(word_edits) / sum(words), 6) as wer, round(sum(levenshtein(r, h)) / sum(length(r)), 6) as cer, round(avg(word_edits / words), 6) as mean_wer from {WORD_EDITS} where words > 0 group by 1",
+    "wer_gate": f"select line_no from {WORD_EDITS} where trim(coalesce(text, ''), ' ') <> '' and words > 0 and word_edits / words > 0.1",
+    "itn_impact": f"""select count(*) as rows, count(*) filter (text is distinct from normalized_text) as changed, count(*) filter (regexp_matches(normalized_text, '[0-9]') and not regexp_matches(text, '[0-9]')) as digits_introduced,
+ count(*) filter (e / 2 - e < -1e-6) as better, count(*) filter (e / 2 - e > 1e-6) as worse, count(*) filter (abs(e / 2 - e) <= 1e-6) as same from (select *, word_edits / words as e from {WORD_EDITS} where words > 0)""",
     "vad_merge": f"""select user_id, min(start) as start, max("end") as "end", count(*) as n from (select *, sum(new) over (partition by user_id order by start, "end", event_id rows unbounded preceding) as run from
  (select *, case when start > max("end") over (partition by user_id order by start, "end", event_id rows between unbounded preceding and 1 preceding) + {GAP} then 1 when max("end") over (partition by user_id order by start, "end", event_id rows between unbounded preceding and 1 preceding) is null then 1 else 0 end as new from {_SP})) group by user_id, run""",
     "runs_and_clip_num": f"""select event_id, user_id, run, clip_num, source_run, source_run || '@' || lpad(clip_num::varchar, 6, '0') as universal_id from (select *, row_number() over (partition by user_id, run order by start, event_id) - 1 as clip_num,
@@ -162,11 +185,7 @@ SQL = {
  (select *, case when start - lag("end") over (partition by user_id order by start, event_id) > 43200 then 1 else 0 end as c from {_SP})))""",
     "speech_overlap": f"""with s as materialized (select * from {_SP}), c as (select distinct user_id, floor(start / 3600)::bigint as chunk from s)
  select c.user_id, c.chunk, coalesce(sum(greatest(least(c.chunk * 3600 + 3600, s."end") - greatest(c.chunk * 3600, s.start), 0)), 0)::double as seconds from c left join s on s.user_id = c.user_id and s."end" >= c.chunk * 3600 and s.start <= c.chunk * 3600 + 3600 group by 1, 2""",
-    "vad_pack": f"""with recursive s as materialized (select user_id, floor(start / 86400)::bigint as day, start::double as start, "end"::double as "end", row_number() over (partition by user_id, floor(start / 86400) order by start, "end", event_id) as i from {_SP}),
- f as (select user_id, day, i, start as c0, "end" as c1, 1 as chunk from s where i = 1 union all
- select s.user_id, s.day, s.i, case when s.start - f.c1 <= {GAP} and s."end" - f.c0 <= {LONGEST} then f.c0 else s.start end, s."end", case when s.start - f.c1 <= {GAP} and s."end" - f.c0 <= {LONGEST} then f.chunk else f.chunk + 1 end
- from f join s on s.user_id = f.user_id and s.day = f.day and s.i = f.i + 1)
- select user_id, day, min(c0) as start, arg_max(c1, i) as "end" from f group by user_id, day, chunk having arg_max(c1, i) - min(c0) >= {SHORTEST}""",
+    "vad_pack": _pack(GAP, SHORTEST),
     "lang_breakdown": """select lang, count(*) as recordings, round(sum(raw) / 3600, 6) as raw_hours, round(sum(case when k then raw else 0 end) / 3600, 6) as kept_hours, round(100 * (sum(case when k then raw else 0 end) / 3600) / nullif(sum(raw) / 3600, 0), 4) as kept_pct from
  (select lower(split_part(m.language, '-', 1)) as lang, coalesce(case when not isnan(m.duration_secs) then m.duration_secs end, 0) as raw, a.k from manifest m left join (select dataset, cut_id, arg_max(is_kept, (decided_at, run_no)) as k from assignments group by 1, 2) a using (dataset, cut_id)) group by lang""",
     "interleave_keys": r"""select line_no, case when dataset is not null and recording_id is not null and cut_id is not null then dataset || '_' || recording_id || '_' || regexp_extract(cut_id, '(\d+)$', 1) end as key, regexp_extract(cut_id, '(\d+)$', 1)::bigint as clip_num from manifest""",

@@ -36,10 +36,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: spark.checkpoint.dir; where it is unset, as in tests, a folder of our own."""
+    """The folder every executor sees: spark.checkpoint.dir; where it is unset in local mode, as in tests, a folder of our own."""
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or _OWN.get(sc.applicationId)
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
         path = _OWN[sc.applicationId] = tempfile.mkdtemp(prefix="tidewrack-checkpoint-")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(path)

@@ -156,7 +156,32 @@ def write_json_lines(df: DataFrame, path: str, inputs: list[str] = (), compressi
             raise ValueError(f"{out} and the input {i} lie in one another")
     if os.path.exists(out):
         raise FileExistsError(out)
-    df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.option("compression", compression).text(path)
+    lines = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    if compression == "zstd":  # text files know no such codec everywhere
+        _write_zstd(lines, path)
+    else:
+        lines.write.option("compression", compression).text(path)
+
+
+def _write_zstd(lines: DataFrame, path: str) -> None:
+    """One `.jsonl.zst` file a partition in a folder that all executors mount; a file appears under its name when it is whole."""
+    os.makedirs(path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import uuid
+
+        import zstandard
+        from pyspark import TaskContext
+
+        name = f"{path}/part-{TaskContext.get().partitionId():05d}.jsonl.zst"
+        tmp = f"{name}.{uuid.uuid4().hex}"
+        with open(tmp, "wb") as f, zstandard.ZstdCompressor().stream_writer(f) as out:
+            for batch in batches:
+                out.write("".join(line + "\n" for line in batch.column(0).to_pylist()).encode())
+        os.replace(tmp, name)
+        yield pa.RecordBatch.from_pydict({"n": [1]})
+
+    lines.mapInArrow(run, "n bigint").count()
 
 
 def config_hash(config: dict) -> str:
@@ -188,9 +213,11 @@ def guard_config(folder: str, config: dict) -> None:
     p.write_text(config_hash(config))
 
 
-def markdown(df: DataFrame, digits: int = 4) -> str:
-    """A small result as a markdown table."""
-    rows = df.collect()
+def markdown(df: DataFrame, digits: int = 4, most: int = 1000) -> str:
+    """A small result as a markdown table; raises above `most` rows."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a report of more than {most} rows")
     show = lambda x: f"{x:.{digits}f}" if isinstance(x, float) else "" if x is None else str(x)
     lines = ["| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
     return "\n".join(lines + ["| " + " | ".join(show(v) for v in r) + " |" for r in rows])

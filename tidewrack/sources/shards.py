@@ -85,7 +85,7 @@ def row_of(cut: dict, spec: dict, place: tuple | None) -> tuple:
     rec = cut.get("recording") or {}
     _, offset, size, fmt = place or (None, None, None, None)
     return (
-        custom.get("dataset") or spec["dataset"], str(cut["id"]).removeprefix("./"), rec.get("id"), sup.get("language") or custom.get("language"), sup.get("text"),
+        custom.get("dataset") or spec["dataset"], str(cut["id"]).removeprefix("./"), rec.get("id"), custom.get("language") or sup.get("language"), sup.get("text"),
         float(cut["duration"]) if cut.get("duration") is not None else None, rec.get("num_samples"), spec["tar"] if place else None, offset, size, fmt,
         json.dumps(custom, sort_keys=True, ensure_ascii=False))
 

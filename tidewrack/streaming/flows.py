@@ -14,7 +14,7 @@ from tidewrack.session import scratch_path
 
 def stream_of(spark: SparkSession, path: str, files_at_once: int = 1) -> DataFrame:
     """A table's files as a stream, so many a micro-batch; the back-pressure of the flows."""
-    pattern = path[:-1] + "?"  # a pattern may name a single file, a plain path only a folder
+    pattern = f"{path[:-1]}[{path[-1]}]"  # a pattern may name a single file, a plain path only a folder; this one names just it
     return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files_at_once).parquet(pattern)
 
 
@@ -38,9 +38,37 @@ def drained(stream: DataFrame, name: str, mode: str = "append", checkpoint: str
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def once_per_key(stream: DataFrame, key: list[str]) -> DataFrame:
-    """The first arrival of every key; later ones, also those read again after a restart, are dropped by the stream's state."""
-    return stream.dropDuplicates(key)
+def once_per_key(stream: DataFrame, key: list[str], time: str, late: str) -> DataFrame:
+    """The first arrival of every key; others that come within `late` of it are dropped, after which its state is forgotten."""
+    return stream.withWatermark(time, late).dropDuplicatesWithinWatermark(key)
+
+
+def appended_once(stream: DataFrame, key: list[str], name: str, checkpoint: str | None = None, sink: str | None = None) -> DataFrame:
+    """The rows of a stream, each key once and for all: a batch appends what no earlier batch has committed.
+
+    The keys are those of the sink itself, so no state grows beside it; a batch that runs again replaces its own rows only.
+    Of a key's rows in one batch any one stays.
+    """
+    spark = stream.sparkSession
+    out, mark = sink or scratch_path(spark, name), checkpoint or scratch_path(spark, f"{name}-mark")
+
+    def append(batch: DataFrame, number: int) -> None:
+        new = batch.dropDuplicates(key)
+        if number and _exists(spark, out):
+            held = batch.sparkSession.read.option("basePath", out).parquet(out)
+            new = new.join(held.where(F.col("batch") < number).select(*key), key, "left_anti")
+        new.select(*batch.columns).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    q = stream.writeStream.foreachBatch(append).option("checkpointLocation", mark).trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return spark.read.option("basePath", out).parquet(f"{out}/batch=*").select(*stream.columns)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def windowed(stream: DataFrame, time: str, by: str, value: str, width: str, slide: str | None = None, late: str = "1 hour") -> DataFrame:
@@ -79,9 +107,13 @@ def numbered_runs(stream: DataFrame, key: str, start: str, end: str, row: str, m
     return stream.select(key, start, end, row).groupBy(key).applyInPandasWithState(step, out, "last double, run bigint, n bigint", "append", GroupStateTimeout.NoTimeout)
 
 
-def guarded(work: Callable[[pd.DataFrame], pd.DataFrame], attempts: int = 3, in_a_row: int = 5, share: float = 0.5, wait: float = 0.5) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """For mapInPandas: try a batch again after growing pauses; pass over one that keeps failing; stop the task after so many
-    failed batches in a row, or when more than this share of at least ten has failed."""
+def guarded(work: Callable[[pd.DataFrame], pd.DataFrame], attempts: int = 3, in_a_row: int = 5, share: float = 0.5, wait: float = 0.5,
+            failed: Callable[[pd.DataFrame, Exception], pd.DataFrame] | None = None) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """For mapInPandas: try a batch again after growing pauses. One that keeps failing comes out as what `failed` makes of it and
+    of its error (an `error` column of the result is null for the others); without `failed` it ends the task. The task also ends
+    after so many failed batches in a row, or when more than this share of at least ten has failed. No row is lost."""
+    dead = failed
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import time
 
@@ -99,9 +131,11 @@ def guarded(work: Callable[[pd.DataFrame], pd.DataFrame], attempts: int = 3, in_
                         time.sleep(wait * 2**i)
             if out is None:
                 failed, row = failed + 1, row + 1
-                if row >= in_a_row or seen >= 10 and failed > share * seen:
+                if dead is None or row >= in_a_row or seen >= 10 and failed > share * seen:
                     raise RuntimeError(f"{failed} of {seen} batches failed, {row} in a row") from error
-                continue
+                out = dead(batch, error)
+            elif dead is not None and "error" not in out:
+                out = out.assign(error=None)
             yield out
 
     return run
