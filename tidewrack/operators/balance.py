@@ -88,8 +88,13 @@ def shard(df: DataFrame, p: Plan, by: list[str]) -> DataFrame:
     """Add `_slot` and `_place`; rows of a split key go to the shard of the hash of `by`. Rows without a key are left out."""
     rows = _with_heavy(df.where(F.col(p.key).isNotNull()), p)
     rows = rows.withColumn("_slot", _slot(p, F.pmod(F.xxhash64(*by), F.col("_shards"))))
-    places = F.array(*[F.lit(x).cast("bigint") for x in p.place])
-    return rows.withColumn("_place", F.get(places, F.col("_slot"))).drop("_first", "_shards")
+    return _placed(rows.drop("_first", "_shards"), p)
+
+
+def _placed(rows: DataFrame, p: Plan) -> DataFrame:
+    """Add `_place`, the value that hashes to the task of `_slot`; the table of slots has some nine rows a task."""
+    slots = rows.sparkSession.createDataFrame(list(enumerate(p.place)), "_slot int, _place bigint")
+    return rows.join(F.broadcast(slots), "_slot")
 
 
 def balanced_distinct_count(df: DataFrame, key: str, member: list[str], extra: dict[str, Column], tasks: int | None = None) -> DataFrame:
@@ -109,14 +114,18 @@ def balanced_distinct_count(df: DataFrame, key: str, member: list[str], extra: d
 def fragment_replicate_join(left: DataFrame, right: DataFrame, key: str, by: list[str], tasks: int | None = None) -> DataFrame:
     """Inner join on `key`; large keys of `left` are split by the hash of `by`, and `right` is copied to those shards only.
 
-    Null keys match nothing. `by` should tell rows of one key apart. Columns other than `key` must differ in name.
+    Both sides go to the tasks that the plan has packed, and the join runs there: it is told that rows of one place lie
+    together, whatever else it is keyed by (as Spark keeps to from as many tasks on as there are shuffle partitions, the default).
+    Null keys match nothing. `by` should tell rows of one key apart. Columns other than
+    `key` must differ in name.
     """
     p = plan(left, key, tasks)
-    a = shard(left, p, by).drop("_place")
+    left.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    a = shard(left, p, by).repartition(p.tasks, "_place")
     b = _with_heavy(right.where(F.col(key).isNotNull()), p)
     copies = F.sequence(F.lit(0), F.coalesce(F.col("_shards"), F.lit(1)) - 1)
     b = b.withColumn("_copy", F.explode(copies)).withColumn("_slot", _slot(p, F.col("_copy"))).drop("_copy", "_first", "_shards")
-    return a.join(b, [key, "_slot"]).drop("_slot")
+    return a.join(_placed(b, p).repartition(p.tasks, "_place"), ["_place", key, "_slot"]).drop("_slot", "_place")
 
 
 def cluster_sizes(clusters: DataFrame, tasks: int | None = None) -> DataFrame:
