@@ -133,6 +133,9 @@ SQL = {
     "p1_ranking": f"{_RANKS} select *, row_number() over (partition by score_batch {_ORDER}) as position from fused",
     "p2_found": f"select audio_cluster_id, dataset, cut_id from {_SURVIVORS} where rn = 1",
     "p2_survivors": f"select * exclude (rn) from {_SURVIVORS} where rn = 1",
+    "p2_merged": f"""select s.audio_cluster_id, s.dataset, s.cut_id, s.members, f.* exclude (audio_cluster_id) from (select * from {_SURVIVORS} where rn = 1) s join (select audio_cluster_id,
+ arg_max(recording_id, (n, decided_at, recording_id)) filter (recording_id is not null) as best_recording_id, {', '.join(f"arg_max({c}, (n, decided_at, {c})) filter (not isnan({c})) as best_{c}" for c in ("quality_score", "gate_score", "duration_secs"))}
+ from (select m.audio_cluster_id, a.*, (a.gate_score is not null)::int + (a.duration_secs is not null)::int + (a.recording_id is not null)::int as n from {_MEMBERS} m left join {_DECIDED} a using (dataset, cut_id)) group by 1) f using (audio_cluster_id)""",
     "p5_found": """with recursive e as (select (src_dataset, src_cut_id) as a, (dst_dataset, dst_cut_id) as b from match_edges
  union select (dst_dataset, dst_cut_id), (src_dataset, src_cut_id) from match_edges),
  r as (select a, a as b from e union select r.a, e.b from r join e on r.b = e.a)
