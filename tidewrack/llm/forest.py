@@ -19,7 +19,8 @@ import hashlib
 import re
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +49,9 @@ WEIGHTS = {"very": 0.02, "common": 1.0, "rare": 2.0}
 PHRASE, REPEATED = 5, 5e-4
 #: Runs beyond this number are merged.
 MOST_RUNS = 8
-#: `repeated` adds batches together until they have this share of the rows that the forest holds.
-STEP = 0.5
+#: `repeated` adds batches together until they have this many times the rows that the forest holds: an addition costs some
+#: twenty small jobs, whatever its size.
+STEP = 1.5
 _MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 _APOSTROPHES = re.compile(r"['’‘`´]")
 _WORDS = re.compile(r"[^\W_]+")
@@ -288,6 +290,12 @@ def similarity(a: set[str], b: set[str], weights: dict[str, float]) -> float:
     return weight(a & b) / max(weight(a | b), 1e-9)
 
 
+def at_once(*jobs: Callable):
+    """The results of jobs that do not need each other, run side by side; each alone would leave most cores idle."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
+
+
 def _place(id_: Column) -> Column:
     return F.xxhash64(id_)
 
@@ -383,9 +391,9 @@ class HashForest:
     def add_rows(self, rows: DataFrame) -> DataFrame:
         """`add` of rows as of `read_rows`, which are read several times."""
         read, before = self.spark.sparkContext.accumulator(0), self.state["runs"]
-        here = stored(texts(rows), "texts")
         first = F.min("batch_no").alias("batch")
         records = rows.where("record is not null and batch_no is not null").groupBy(F.col("record").alias("at"), F.col("record2").alias("rest")).agg(first)
+        here, records = at_once(lambda: stored(texts(rows), "texts"), lambda: stored(records, "records"))
         same = None
         if before:
             keys, fields = "at bigint, rest bigint, batch int", "their_rest bigint, their_batch int"
@@ -393,7 +401,6 @@ class HashForest:
             same = looked_up(asked, self._readers("keys", before), keys, fields, read).where("rest = their_rest")
             same = stored(same.groupBy(F.col("at").alias("text"), F.col("rest").alias("text2")).agg(F.min("their_batch").alias("earlier")), "same")
             new = stored(here.join(same, ["text", "text2"], "left_anti"), "new")
-            records = stored(records, "records")
             theirs = looked_up(self._spread(records), self._readers("records", before), keys, fields, read).where("rest = their_rest")
             earliest = records.select("at", "rest", "batch").union(theirs.select("at", "rest", F.col("their_batch").alias("batch")))
             earliest = earliest.groupBy("at", "rest").agg(F.min("batch").alias("batch"))
@@ -429,10 +436,11 @@ class HashForest:
         trees, run = self.state["trees"], {"name": f"run-{uuid.uuid4().hex}", "texts": n, "lowest": lowest}
         run["bits"] = {t: runs.part_bits(n * (trees if t == "paths" else 1)) for t in self.TABLES}
         path = f"{self.path}/{run['name']}"
-        runs.write_sorted(signed(new, self.weights, trees), f"{path}/paths", run["bits"]["paths"], ["id"])
-        runs.write_sorted(new.select(_place(F.col("id")).alias("at"), "id", "words"), f"{path}/texts", run["bits"]["texts"], [])
-        runs.write_sorted(new.select(F.col("text").alias("at"), F.col("text2").alias("rest"), batch_of(F.col("id")).cast("int").alias("batch")), f"{path}/keys", run["bits"]["keys"], [])
-        runs.write_sorted(records.select("at", "rest", "batch"), f"{path}/records", run["bits"]["records"], [])
+        tables = {
+            "paths": signed(new, self.weights, trees), "texts": new.select(_place(F.col("id")).alias("at"), "id", "words"), "records": records.select("at", "rest", "batch"),
+            "keys": new.select(F.col("text").alias("at"), F.col("text2").alias("rest"), batch_of(F.col("id")).cast("int").alias("batch")),
+        }
+        at_once(*[lambda t=t, df=df: runs.write_sorted(df, f"{path}/{t}", run["bits"][t], ["id"] if t == "paths" else []) for t, df in tables.items()])
         return run
 
     def _near(self, new: DataFrame, held: list[dict], read) -> DataFrame | None:
@@ -490,15 +498,15 @@ class HashForest:
             return
         run = {"name": f"run-{uuid.uuid4().hex}", "texts": sum(r["texts"] for r in held), "lowest": min((r["lowest"] for r in held if r["lowest"] is not None), default=None)}
         run["bits"] = {t: runs.part_bits(run["texts"] * (self.state["trees"] if t == "paths" else 1)) for t in self.TABLES}
-        for t, fields in self.TABLES.items():
-            runs.merged(self.spark, self._readers(t, held), f"{self.path}/{run['name']}/{t}", run["bits"][t], ["id"] if t == "paths" else [], fields)
+        path = f"{self.path}/{run['name']}"
+        at_once(*[lambda t=t, fields=fields: runs.merged(self.spark, self._readers(t, held), f"{path}/{t}", run["bits"][t], ["id"] if t == "paths" else [], fields) for t, fields in self.TABLES.items()])
         self.state = {**self.state, "runs": [run]}
         runs.save_state(self.path, self.state)
 
 
 def additions(rows: DataFrame) -> list[tuple[int, int]]:
-    """Ranges of batches to add together: the first batch, then at least STEP of what was added before. One number a batch comes
-    to the driver."""
+    """Ranges of batches to add together: the first batch, then at least STEP times what was added before; what is left over goes
+    with the last. One number a batch comes to the driver."""
     sizes = sorted((r.batch_no, r["count"]) for r in rows.where("batch_no is not null").groupBy("batch_no").count().collect())
     out, held, here, start = [], 0, 0, None
     for b, n in sizes:
@@ -506,7 +514,9 @@ def additions(rows: DataFrame) -> list[tuple[int, int]]:
         if here >= STEP * held:
             out.append((start, b))
             held, here, start = held + here, 0, None
-    return [*out, (start, sizes[-1][0])] if start is not None else out
+    if start is None:
+        return out
+    return [*out[:-1], (out[-1][0], sizes[-1][0])] if len(out) > 1 else [*out, (start, sizes[-1][0])]
 
 
 def repeated(manifest: DataFrame) -> DataFrame:
