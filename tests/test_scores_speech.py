@@ -132,6 +132,18 @@ def spoken(rng, n):
     return [rng.choice(["alpha", "beta", "gamma", "delta", "omega"]) for _ in range(n)]
 
 
+def test_alignment_costs_the_edit_distance():
+    rng = random.Random(13)
+    for _ in range(300):
+        a, b = spoken(rng, rng.randrange(1, 30)), spoken(rng, rng.randrange(30))
+        got = C.align(a, b)
+        taken = [w for w in got if w is not None]
+        rest = iter(b)
+        assert len(got) == len(a) and all(w in rest for w in taken)  # in the order of b
+        cost = sum(x != y for x, y in zip(a, got) if y is not None) + got.count(None) + len(b) - len(taken)
+        assert cost == E.edits(a, b)
+
+
 def test_votes_keep_to_the_contract():
     rng = random.Random(21)
     for _ in range(60):

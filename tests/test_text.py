@@ -44,8 +44,12 @@ def test_components_chain_hub_and_empty(spark):
     random.seed(0)
     pairs = [(i, i + 1) for i in range(100)] + [(1000, 1000 + i) for i in range(1, 60)] + [(5000, 5000), (None, 3)]
     random.shuffle(pairs)
-    got = {r.node: r.root for r in connected_components(spark.createDataFrame(pairs, "a int, b int")).collect()}
-    assert got == {**{i: 0 for i in range(101)}, **{1000 + i: 1000 for i in range(60)}, 5000: 5000}
+    want = {**{i: 0 for i in range(101)}, **{1000 + i: 1000 for i in range(60)}, 5000: 5000}
+    df = spark.createDataFrame(pairs, "a int, b int")
+    for most in (0, 1000):  # by star steps, and in one task
+        assert {r.node: r.root for r in connected_components(df, in_one_task=most).collect()} == want
+        words = df.select(*[F.format_string("n%05d", c).alias(c) for c in "ab"]).where("a not like '%null%'")
+        assert {r.node: r.root for r in connected_components(words, in_one_task=most).collect()} == {f"n{k:05}": f"n{v:05}" for k, v in want.items()}
     assert connected_components(spark.createDataFrame([], "a int, b int")).count() == 0
 
 

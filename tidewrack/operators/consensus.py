@@ -16,27 +16,40 @@ RESULT = "text string, fallbacks int, ambiguous array<struct<position:int,primar
 def align(primary: list[str], other: list[str]) -> list[str | None]:
     """For each primary word the word of `other` in its place, by edit distance; None where `other` has none.
 
-    On equal cost a match or replacement is preferred to dropping the primary's word, and that to an added word.
+    On equal cost a match or replacement is preferred to dropping the primary's word, and that to an added word. The table of
+    distances is held as the differences of neighbours, one bit a cell, a column made in one step of whole-number arithmetic.
     """
     n, m = len(primary), len(other)
-    cost = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n, -1, -1):
-        for j in range(m, -1, -1):
-            if i == n or j == m:
-                cost[i][j] = (n - i) + (m - j)
-            else:
-                cost[i][j] = min(cost[i + 1][j + 1] + (primary[i] != other[j]), cost[i + 1][j] + 1, cost[i][j + 1] + 1)
+    places: dict[str, int] = {}
+    for k, w in enumerate(reversed(primary)):
+        places[w] = places.get(w, 0) | 1 << k
+    full = (1 << n) - 1
+    up, down = full, 0  # by word of the primary, from the last: where the distance grows and falls along the column
+    columns = [(up, down, 0, 0)]
+    for w in reversed(other):
+        eq = places.get(w, 0)
+        d = (((eq & up) + up) ^ up) | eq | down
+        right, left = down | full & ~(d | up), d & up  # where it grows and falls against the column before
+        shifted = right << 1 | 1
+        up, down = (left << 1 | full & ~(d | shifted)) & full, d & shifted & full
+        columns.append((up, down, right, left))
     out: list[str | None] = []
     i = j = 0
     while i < n:
-        if j < m and cost[i][j] == cost[i + 1][j + 1] + (primary[i] != other[j]):
-            out.append(other[j])
-            i, j = i + 1, j + 1
-        elif cost[i][j] == cost[i + 1][j] + 1:
-            out.append(None)
-            i += 1
-        else:
-            j += 1
+        p = n - i
+        if j < m:
+            up, down, right, left = columns[m - j]
+            step = (up >> p - 1 & 1) - (down >> p - 1 & 1)
+            before = (right >> p - 2 & 1) - (left >> p - 2 & 1) if p > 1 else 1
+            if step + before == (primary[i] != other[j]):
+                out.append(other[j])
+                i, j = i + 1, j + 1
+                continue
+            if step != 1:
+                j += 1
+                continue
+        out.append(None)
+        i += 1
     return out
 
 
