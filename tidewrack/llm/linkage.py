@@ -8,11 +8,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewrack.operators.joins import bounded
 from tidewrack.session import cut
 
 #: Edges that one union-find holds at most; larger partitions are worked off in blocks of this size.
 EDGES_AT_ONCE = 500_000
 FOREST = "node string, root string"
+#: Star steps settle a graph in about the square of the logarithm of its nodes at worst.
+MOST_ROUNDS = 500
 
 
 def _forest(edges_at_once: int):
@@ -71,13 +74,13 @@ def components(edges: DataFrame, edges_at_once: int = EDGES_AT_ONCE) -> DataFram
     """(node, root) of every node of `edges` (a, b, both strings): the smallest node, in byte order, of its component.
 
     Each scan task keeps a spanning forest of its own edges; the forests are merged in ever fewer partitions, none of which
-    holds more than `edges_at_once` edges. If the forest of all is larger than one partition may be, the merged forests
-    are finished by star steps, which need no memory per component. A node linked only with itself is its own root.
+    holds more than `edges_at_once` edges. If the forest of all is larger than one partition may be, the merged forests are
+    contracted to their roots: only nodes that stand in several trees link two of them, so hubs and leaves are gone, and the
+    graph of roots is finished by star steps, which need no memory per component. A node linked only with itself is its own root.
     """
     spark = edges.sparkSession
     run = _forest(edges_at_once)
     forest = cut(edges.selectExpr("a as node", "b as root").mapInArrow(run, FOREST))
-    alone = forest.where("node = root").select("node")
     n, parts = forest.count(), max(1, forest.rdd.getNumPartitions())
     while parts > 1 or n > edges_at_once:
         fewer = max(-(-n // edges_at_once), -(-parts // 8))
@@ -89,16 +92,19 @@ def components(edges: DataFrame, edges_at_once: int = EDGES_AT_ONCE) -> DataFram
         n, parts = forest.count(), fewer
     else:
         return forest.distinct()
-    links = cut(forest.where("node <> root").distinct())
+    # a node has at most one root from every partition and block
+    trees = cut(forest.groupBy("node").agg(F.min("root").alias("least"), F.collect_set("root").alias("roots")))
+    links = cut(trees.select(F.explode("roots").alias("node"), F.col("least").alias("root")).where("node <> root").distinct())
     seen = None
-    while True:
-        links = cut(_star_round(links))
+    for _ in range(MOST_ROUNDS):
         now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("node", "root").cast("decimal(38,0)"))).first()
         if now == seen:
             break
-        seen = now
-    all_nodes = alone.union(links.select("root")).distinct()
-    return links.union(all_nodes.join(links.select("node"), "node", "left_anti").select("node", F.col("node").alias("root")))
+        seen, links = now, cut(_star_round(links))
+    else:
+        raise RuntimeError(f"components are not settled after {MOST_ROUNDS} rounds")
+    final = bounded(links.select(F.col("node").alias("least"), "root"))
+    return trees.select("node", "least").join(final, "least", "left").select("node", F.coalesce("root", "least").alias("root"))
 
 
 def record_groups(match_edges: DataFrame, edges_at_once: int = EDGES_AT_ONCE) -> DataFrame:
