@@ -174,9 +174,9 @@ def coverage(clean: DataFrame, degraded: DataFrame, metrics: list[str]) -> DataF
     `clean` (metrics...) is held against every family of `degraded` (family, metrics...), of which there are few: it is
     repeated once a family. Verdict: catch from 0.80 up, miss below 0.65.
     """
-    families = F.broadcast(degraded.select("family").distinct())  # one row a family
+    families = F.broadcast(degraded.agg(F.array_compact(F.collect_set("family")).alias("families")))  # one row
     long = lambda df: df.unpivot(["family", "clean"], metrics, "metric", "value")
-    rows = long(clean.select(*metrics, F.lit(True).alias("clean")).join(families)).union(long(degraded.select("family", F.lit(False).alias("clean"), *metrics)))
+    rows = long(clean.crossJoin(families).select(F.explode("families").alias("family"), F.lit(True).alias("clean"), *metrics)).union(long(degraded.select("family", F.lit(False).alias("clean"), *metrics)))
     out = auroc(rows, ["family", "metric"], "value", "clean")
     return out.withColumn("verdict", F.when(F.col("auroc") >= CATCHES, "catch").when(F.col("auroc") < MISSES, "miss"))
 
