@@ -1,9 +1,11 @@
+import hashlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidewrack.functions import text as T
+from tidewrack.operators import buckets as B
 from tidewrack.operators import textdedup as D
 from tidewrack.operators.components import connected_components
 
@@ -139,3 +141,72 @@ def test_clusters_hold_texts_just_near_enough(spark):
         rows.append((2 * kind + 1, " ".join(w)))
     got = D.lsh_clusters(spark.createDataFrame(rows, "doc_id int, text string"), "doc_id", "text").collect()
     assert {(r.id, r.cluster_id, r.cluster_size) for r in got} == {(i, i // 2, 2) for i in range(160)}
+
+
+def _char_groups(rows, n=12, threshold=0.5, bands=16):
+    """By brute force: texts that share two values of a band and are near enough, with all links between them."""
+    sets = {i: {t[j : j + n] for j in range(len(t) - n + 1)} or {t.ljust(n, "\0")} for i, t in rows if t}
+    signs = {}
+    for i, s in sets.items():
+        h = [(int(hashlib.md5(x.encode()).hexdigest()[:15], 16)) % D.PRIME for x in s]
+        signs[i] = [min((x * a + b) % D.PRIME for x in h) for a, b in D.permutations(2 * bands)]
+    root = {i: i for i in sets}
+    met = near = 0
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and any(signs[a][2 * k : 2 * k + 2] == signs[b][2 * k : 2 * k + 2] for k in range(bands)):
+                met += 1
+                if len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b]):
+                    near += 1
+                    x, y = sorted((root[a], root[b]))
+                    root = {k: x if v == y else v for k, v in root.items()}
+    held = {i: r for i, r in root.items() if list(root.values()).count(r) > 1}
+    return held, met, near
+
+
+def _phrased(count):
+    """Texts with a phrase in common that are not near each other, some again with changes, copies, short and other scripts."""
+    rng = random.Random(8)
+    phrase = "this call may be recorded for training and quality"
+    rows = [(i, phrase + "".join(rng.choice("abcdefghijkl ") for _ in range(60))) for i in range(count)]
+    for i in range(0, count, 5):
+        t = list(rows[i][1])
+        for _ in range(rng.randrange(5)):
+            t[rng.randrange(len(t))] = "ż"
+        rows.append((1000 + i, "".join(t)))
+    return rows + [(2000, "ab"), (2001, "ab"), (2002, "ab\0"), (2003, None), (2004, ""), (2005, "日本語の会話を録音しています、よろしく"), (2006, "日本語の会話を録音しています、よろしくね"), (2007, "a" * 40), (2008, "a" * 90)]
+
+
+def test_char_clusters_are_those_of_brute_force(spark):
+    rows = _phrased(120)
+    want, met, near = _char_groups(rows)
+    assert met > 10 * near > 200 and {2000, 2001, 2005, 2006, 2007, 2008} < set(want)
+    df = spark.createDataFrame(rows, "k int, t string").repartition(3)
+    order = {r: n for n, r in enumerate(sorted(set(want.values())))}
+    for shard in (20_000, 9):  # whole buckets, and large ones in shards
+        got = D.char_clusters(df, "k", "t", shard=shard).collect()
+        assert len(got) == len(want) and {r.id: r.cluster_id for r in got} == {i: order[r] for i, r in want.items()}
+        assert all(r.cluster_size == list(want.values()).count(want[r.id]) for r in got)
+    signed, folder = B.signed(df, "k", "t", 12, 16, 2, D.permutations(32), D.PRIME)
+    roots = B.near_nodes(signed, folder, 12, 0.5, most=5)  # forests by part, finished by star steps
+    by = {}
+    for r in signed.join(roots, "node", "left").collect():
+        by.setdefault(r.root or r.node, set()).add(r.id)
+    assert {min(x) for x in by.values() if len(x) > 1} == set(want.values()) and {i for x in by.values() for i in x if len(x) > 1} == set(want)
+    with pytest.raises(ValueError, match="longer than the signature"):
+        B.signed(df, "k", "t", 12, 16, 3, D.permutations(32), D.PRIME)
+    assert D.char_clusters(df.where("false"), "k", "t").count() == 0
+
+
+def test_char_clusters_write_no_candidates(spark):
+    """A phrase in common makes candidates of most pairs; what is shuffled follows the texts and not their pairs."""
+    def shuffled(rows):
+        sc = spark.sparkContext._jsc.sc()
+        sc.listenerBus().waitUntilEmpty()
+        before = sc.statusStore().executorList(False).apply(0).totalShuffleWrite()
+        D.char_clusters(spark.createDataFrame(rows, "k int, t string"), "k", "t").collect()
+        sc.listenerBus().waitUntilEmpty()
+        return sc.statusStore().executorList(False).apply(0).totalShuffleWrite() - before
+
+    rows = _phrased(600)
+    assert shuffled(rows) < 12 * sum(len(t or "") for _, t in rows)

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewrack.operators import buckets as bucketed
 from tidewrack.operators.components import connected_components
 from tidewrack.operators.ordering import here, spread, with_carry
 from tidewrack.session import cut, stored, widened
@@ -203,20 +204,18 @@ def lsh_clusters(df: DataFrame, key: str, text: str, threshold: float = THRESHOL
     return numbered(connected_components(edges), membership.select("id"), max_fraction)
 
 
-def char_clusters(df: DataFrame, key: str, text: str, n: int = 12, threshold: float = 0.5, bands: int = 16, width: int = 2) -> DataFrame:
+def char_clusters(df: DataFrame, key: str, text: str, n: int = 12, threshold: float = 0.5, bands: int = 16, width: int = 2, shard: int = bucketed.SHARD) -> DataFrame:
     """(id, cluster_id, cluster_size) by character runs: signatures, banding, exact verification of all candidates, components.
 
-    Equal sets are one vertex. At similarity s a pair is met with probability 1 - (1 - s ** width) ** bands.
+    Equal texts are one vertex. At similarity s a pair is met with probability 1 - (1 - s ** width) ** bands. Neither sets nor
+    candidates are written, see `operators/buckets`; a bucket of more than `shard` texts is met in shards. `key` is unique.
     """
-    reps, membership = distinct_sets(char_sets(df, key, text, n))
-    first, of = signature_classes(stored(minhash(reps, bands * width), "signatures"))
-    pairs = candidates(buckets(first, bands, width))
-    same = of.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    met = pairs.join(of.withColumnRenamed("rep", "a"), "a").select(F.col("id").alias("a"), "b").join(of.withColumnRenamed("rep", "b"), "b").select("a", F.col("id").alias("b"))
-    both = met.union(same).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    edges = verified(both, reps, threshold).select("a", "b")
-    copies = membership.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    return numbered(connected_components(edges.union(copies)), membership.select("id"))
+    rows, folder = bucketed.signed(df, key, text, n, bands, width, permutations(bands * width), PRIME)
+    members = rows.select("id", "node")
+    near = bucketed.near_nodes(rows, folder, n, threshold, shard)
+    groups = members.join(near, "node", "left").select("id", F.coalesce("root", "node").alias("g"))
+    first = groups.groupBy("g").agg(F.min("id").alias("root"), F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
+    return numbered(groups.join(first, "g").select(F.col("id").alias("node"), "root"), members.select("id"))
 
 
 def containment_clusters(df: DataFrame, key: str, text: str, n: int = SHINGLE, threshold: float = THRESHOLD, min_shared: int = 3) -> DataFrame:
