@@ -30,7 +30,7 @@ PLACE, NODE = 28, 56
 #: Pairs compared at a time; shingles hashed at a time; sets that a task remembers.
 PAIRS, SHINGLES, SETS = 1 << 16, 1 << 13, 4_000
 #: A bucket that more texts hold than this is met in several shards.
-SHARD = 20_000
+SHARD = 8_000
 #: Links that one union-find holds at most.
 LINKS = 500_000
 
@@ -97,7 +97,7 @@ def signed(df: DataFrame, key: str, text: str, n: int, bands: int, width: int, h
             sketches = np.packbits(bits.astype(np.uint8).reshape(len(block), BITS), axis=1, bitorder="little").view("<u8")
             return sketches, list(zip(*(packed(np.array(least[i * width : (i + 1) * width])) for i in range(bands))))
 
-        with open(f"{folder}/{attempt}.records", "wb") as records, open(f"{folder}/{attempt}.texts", "wb") as texts:
+        with open(f"{folder}/{attempt}.records", "wb") as records, open(f"{folder}/{attempt}.texts", "wb") as texts, open(f"{folder}/{attempt}.buckets", "wb") as places:
             for batch in batches:
                 numbers, signs, block, held, size = [], [], [], [], 0
 
@@ -110,6 +110,7 @@ def signed(df: DataFrame, key: str, text: str, n: int, bands: int, width: int, h
                         rows["n"] = [len(x) for x in block]
                         rows["sketch"] = sketches
                         rows.tofile(records)
+                        np.array(buckets, np.int64).tofile(places)
                         for (row, *_), b in zip(held, buckets):
                             signs[row] = b
                     block, held, size = [], [], 0
@@ -156,30 +157,35 @@ def _near(folder: str, n: int, threshold: float, shard: int):
     band, shard and shard in 20 bits each, and meets any size; of two shards it meets only pairs across them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        files: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         sets: dict[int, set[bytes]] = {}
         trees = _Trees()
 
-        def records(nodes: np.ndarray) -> np.ndarray:
-            out, tasks = np.empty(len(nodes), RECORD), nodes >> PLACE
+        def read(nodes: np.ndarray, what: int) -> np.ndarray:
+            """The records (0) or buckets (1) of nodes."""
+            out, tasks = None, nodes >> PLACE
             for k in np.unique(tasks).tolist():
                 if k not in files:
-                    files[k] = np.memmap(f"{folder}/{k}.records", RECORD, "r"), np.memmap(f"{folder}/{k}.texts", np.uint8, "r")
+                    name, kinds = f"{folder}/{k}", ((".records", RECORD), (".buckets", np.int64), (".texts", np.uint8))
+                    records, buckets, texts = (np.asarray(np.memmap(name + end, kind, "r")) for end, kind in kinds)
+                    files[k] = records, buckets.reshape(len(records), -1), texts
                 mine = tasks == k
-                out[mine] = files[k][0][nodes[mine] & ((1 << PLACE) - 1)]
+                got = files[k][what][nodes[mine] & ((1 << PLACE) - 1)]
+                out = np.empty((len(nodes), *got.shape[1:]), got.dtype) if out is None else out
+                out[mine] = got
             return out
 
         def runs(node: int, r: np.void) -> set[bytes]:
             if node not in sets:
                 if len(sets) > SETS:
                     sets.clear()
-                sets[node] = _runs(bytes(files[node >> PLACE][1][r["at"] : r["at"] + r["bytes"]]), int(r["chars"]), n)
+                sets[node] = _runs(bytes(files[node >> PLACE][2][r["at"] : r["at"] + r["bytes"]]), int(r["chars"]), n)
             return sets[node]
 
         def links(nodes: np.ndarray, ends: np.ndarray, own: np.ndarray, part: np.ndarray) -> Iterator[tuple[int, int]]:
             """Of places in groups that end at `ends`, each with every later one of its group."""
             across = (part >> 20 & 0xFFFFF) != (part & 0xFFFFF)
-            r = records(nodes)
+            r, band = read(nodes, 0), part >> (0 if shard else 40) & 0xFF
             size, sketch = r["n"].astype(np.int64), np.ascontiguousarray(r["sketch"])
             partners = ends - np.arange(len(nodes)) - 1
             upto = np.cumsum(partners)
@@ -197,6 +203,9 @@ def _near(folder: str, n: int, threshold: float, shard: int):
                 x, y = x[near], y[near]
                 near = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1, dtype=np.int64) <= (size[x] + size[y]) * (1 - threshold) / (1 + threshold) + 1e-9
                 x, y = x[near], y[near]
+                if len(x):  # a pair of several buckets is met in the first
+                    first = (read(nodes[x], 1) == read(nodes[y], 1)).argmax(axis=1) == band[x]
+                    x, y = x[first], y[first]
                 for k, m, a, b in zip(x.tolist(), y.tolist(), nodes[x].tolist(), nodes[y].tolist()):
                     if a != b and trees.root(a) != trees.root(b):
                         u, v = runs(a, r[k]), runs(b, r[m])
