@@ -46,7 +46,7 @@ def _runs(raw: bytes, chars: int, n: int) -> set[bytes]:
 
 
 def signed(df: DataFrame, key: str, text: str, n: int, bands: int, width: int, hashes: list[tuple[int, int]], prime: int) -> tuple[DataFrame, str]:
-    """(id, node, buckets) and the folder of the sketches and texts: equal texts are one node, signed in its first row.
+    """(id, node, first) and the folder of the sketches, buckets and texts: equal texts are one node, signed in its first row.
 
     A node's place in the folder is in its number, with the attempt that wrote it, so what a repeated task wrote is not read.
     """
@@ -99,38 +99,71 @@ def signed(df: DataFrame, key: str, text: str, n: int, bands: int, width: int, h
 
         with open(f"{folder}/{attempt}.records", "wb") as records, open(f"{folder}/{attempt}.texts", "wb") as texts, open(f"{folder}/{attempt}.buckets", "wb") as places:
             for batch in batches:
-                numbers, signs, block, held, size = [], [], [], [], 0
+                numbers, firsts, block, held, size = [], [], [], [], 0
 
                 def settle():
                     nonlocal block, held, size
                     if block:
                         sketches, buckets = sign(block)
                         rows = np.zeros(len(block), RECORD)
-                        rows["at"], rows["bytes"], rows["chars"] = ([x[i] for x in held] for i in (1, 2, 3))
+                        rows["at"], rows["bytes"], rows["chars"] = ([x[i] for x in held] for i in range(3))
                         rows["n"] = [len(x) for x in block]
                         rows["sketch"] = sketches
                         rows.tofile(records)
                         np.array(buckets, np.int64).tofile(places)
-                        for (row, *_), b in zip(held, buckets):
-                            signs[row] = b
                     block, held, size = [], [], 0
 
                 for t in batch.column(1).to_pylist():
+                    firsts.append(t != last)
                     if t != last:
                         last, raw = t, t.encode()
                         block.append(_runs(raw, len(t), n))
-                        held.append((len(numbers), at, len(raw), len(t)))
+                        held.append((at, len(raw), len(t)))
                         texts.write(raw)
                         at, nodes, size = at + len(raw), nodes + 1, size + len(block[-1])
                     numbers.append(attempt << PLACE | nodes - 1)
-                    signs.append(None)
                     if size > SHINGLES:
                         settle()
                 settle()
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(numbers, pa.int64()), pa.array(signs, pa.list_(pa.int64()))], names=["id", "node", "buckets"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(numbers, pa.int64()), pa.array(firsts, pa.bool_())], names=["id", "node", "first"])
 
     rows = df.select(F.col(key).alias("id"), F.col(text).alias("t")).where("t <> ''").repartition("t").sortWithinPartitions("t", "id")
-    return stored(rows.mapInArrow(run, f"id {kind}, node bigint, buckets array<bigint>"), "signed"), folder
+    return stored(rows.mapInArrow(run, f"id {kind}, node bigint, first boolean"), "signed"), folder
+
+
+def _reader(folder: str):
+    """A function over nodes that gives their records (0) or buckets (1), and by task the records, buckets and texts it has mapped."""
+    files: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+
+    def read(nodes: np.ndarray, what: int) -> np.ndarray:
+        out, tasks = None, nodes >> PLACE
+        for k in np.unique(tasks).tolist():
+            if k not in files:
+                name, kinds = f"{folder}/{k}", ((".records", RECORD), (".buckets", np.int64), (".texts", np.uint8))
+                records, buckets, texts = (np.asarray(np.memmap(name + end, kind, "r")) for end, kind in kinds)
+                files[k] = records, buckets.reshape(len(records), -1), texts
+            mine = tasks == k
+            got = files[k][what][nodes[mine] & ((1 << PLACE) - 1)]
+            out = np.empty((len(nodes), *got.shape[1:]), got.dtype) if out is None else out
+            out[mine] = got
+        return out
+
+    return read, files
+
+
+def _members(folder: str):
+    """A function over Arrow batches of nodes: (bucket, member), a row a band."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read, _ = _reader(folder)
+        for batch in batches:
+            if batch.num_rows:
+                nodes = batch.column(0).to_numpy()
+                buckets = read(nodes, 1)
+                members = np.arange(buckets.shape[1], dtype=np.int64)[None, :] << NODE | nodes[:, None]
+                yield pa.RecordBatch.from_arrays([pa.array(buckets.ravel()), pa.array(members.ravel())], names=["bucket", "member"])
+
+    return run
 
 
 class _Trees(dict):
@@ -157,24 +190,10 @@ def _near(folder: str, n: int, threshold: float, shard: int):
     band, shard and shard in 20 bits each, and meets any size; of two shards it meets only pairs across them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        read, files = _reader(folder)
         sets: dict[int, set[bytes]] = {}
         trees = _Trees()
 
-        def read(nodes: np.ndarray, what: int) -> np.ndarray:
-            """The records (0) or buckets (1) of nodes."""
-            out, tasks = None, nodes >> PLACE
-            for k in np.unique(tasks).tolist():
-                if k not in files:
-                    name, kinds = f"{folder}/{k}", ((".records", RECORD), (".buckets", np.int64), (".texts", np.uint8))
-                    records, buckets, texts = (np.asarray(np.memmap(name + end, kind, "r")) for end, kind in kinds)
-                    files[k] = records, buckets.reshape(len(records), -1), texts
-                mine = tasks == k
-                got = files[k][what][nodes[mine] & ((1 << PLACE) - 1)]
-                out = np.empty((len(nodes), *got.shape[1:]), got.dtype) if out is None else out
-                out[mine] = got
-            return out
-
         def runs(node: int, r: np.void) -> set[bytes]:
             if node not in sets:
                 if len(sets) > SETS:
@@ -258,17 +277,17 @@ def near_nodes(rows: DataFrame, folder: str, n: int, threshold: float, shard: in
     A bucket of more than `shard` members is met in pairs of shards, none of which is the work of more than one task.
     """
     found = "bucket bigint, a bigint, b bigint"
-    members = rows.where("buckets is not null").select("node", F.posexplode("buckets").alias("band", "bucket"))
-    members = members.select("bucket", F.shiftleft(F.col("band").cast("bigint"), NODE).bitwiseOR(F.col("node")).alias("member"))
+    members = rows.where("first").select("node").mapInArrow(_members(folder), "bucket bigint, member bigint")
     met = cut(members.repartition("bucket").sortWithinPartitions("bucket", "member").mapInArrow(_near(folder, n, threshold, shard), found))
     links, large = met.where("b is not null").select("a", "b"), met.where("b is null").select("bucket", F.col("a").alias("member"))
     if not large.isEmpty():
         large = large.select("bucket", F.shiftrightunsigned("member", NODE).alias("band"), F.col("member").bitwiseAND((1 << NODE) - 1).alias("node"))
-        counts = large.groupBy("bucket", "band").agg(F.ceil(F.count(F.lit(1)) * 2 / shard).alias("shards"))
+        counts = cut(large.groupBy("bucket", "band").agg(F.ceil(F.count(F.lit(1)) * 2 / shard).alias("shards")))
+        tasks = int(counts.agg(F.sum(F.col("shards") * (F.col("shards") + 1) / 2)).first()[0])  # few rows, but much work in each
         own = large.join(counts, ["bucket", "band"]).withColumn("own", F.pmod(F.xxhash64("node"), "shards"))
         pairs = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shards") - 1)))
         part = F.shiftleft("band", 40).bitwiseOR(F.shiftleft(F.least("own", "other"), 20)).bitwiseOR(F.greatest("own", "other"))
-        pairs = pairs.select("bucket", part.alias("part"), "node", "own").repartition("bucket", "part").sortWithinPartitions("bucket", "part")
+        pairs = pairs.select("bucket", part.alias("part"), "node", "own").repartition(min(tasks, 8 * rows.sparkSession.sparkContext.defaultParallelism), "bucket", "part").sortWithinPartitions("bucket", "part")
         links = links.union(cut(pairs.mapInArrow(_near(folder, n, threshold, 0), found)).select("a", "b"))
     count = links.count()
     if count > most:
